@@ -285,3 +285,153 @@ ORDER BY timestamp DESC, transaction_id LIMIT 20""")
 q("recent_silver", f"""WITH {SILVER}
 SELECT transaction_id, card_id, amount, merchant_id, country, fraud_type, event_time FROM silver
 ORDER BY event_time DESC, transaction_id LIMIT 10""")
+
+# --- sequence detectors and profiles ------------------------------------------------
+
+LOC = "lat IS NOT NULL AND lon IS NOT NULL AND NOT (lat = 0 AND lon = 0)"
+
+
+def _travel(max_gap_s: int) -> str:
+    return f"""WITH {SILVER},
+loc AS (SELECT * FROM silver WHERE {LOC}),
+p AS (
+  SELECT *, lag(transaction_id) OVER w AS prev_transaction_id, lag(event_time) OVER w AS prev_event_time,
+    lag(country) OVER w AS prev_country, lag(lat) OVER w AS prev_lat, lag(lon) OVER w AS prev_lon
+  FROM loc WINDOW w AS (PARTITION BY card_id ORDER BY event_time, transaction_id)
+),
+a AS (
+  SELECT *, greatest(least(pow(sin(radians(lat - prev_lat) / 2), 2)
+      + cos(radians(prev_lat)) * cos(radians(lat)) * pow(sin(radians(lon - prev_lon) / 2), 2), 1.0::DOUBLE), 0.0::DOUBLE) AS hav,
+    (epoch_us(event_time) - epoch_us(prev_event_time))::DOUBLE / 1000000.0::DOUBLE AS gap_s
+  FROM p
+),
+d AS (SELECT *, 6371.0::DOUBLE * 2 * atan2(sqrt(hav), sqrt(1.0::DOUBLE - hav)) AS distance_km FROM a)"""
+
+
+q("impossible_travel", _travel(3600) + """
+SELECT transaction_id, card_id, event_time, country, prev_transaction_id, prev_country,
+  round(distance_km, 3) AS distance_km, gap_s
+FROM d WHERE country <> prev_country AND distance_km >= 2000.0::DOUBLE AND gap_s <= 3600""")
+
+q("impossible_travel_5m", _travel(300) + """
+SELECT transaction_id, card_id, event_time, country, prev_transaction_id, prev_country,
+  round(distance_km, 3) AS distance_km, gap_s
+FROM d WHERE country <> prev_country AND distance_km >= 2000.0::DOUBLE AND gap_s <= 300""")
+
+q("haversine", _travel(300) + """
+SELECT transaction_id, prev_transaction_id, round(distance_km, 3) AS distance_km
+FROM d WHERE prev_transaction_id IS NOT NULL""")
+
+
+def _velocity(window_s: int, threshold: int) -> str:
+    return f"""WITH {SILVER}
+SELECT transaction_id, card_id, event_time,
+  count(*) OVER (PARTITION BY card_id ORDER BY event_time
+    RANGE BETWEEN INTERVAL '{window_s} seconds' PRECEDING AND CURRENT ROW) AS velocity,
+  count(*) OVER (PARTITION BY card_id ORDER BY event_time
+    RANGE BETWEEN INTERVAL '{window_s} seconds' PRECEDING AND CURRENT ROW) >= {threshold} AS velocity_flag
+FROM silver"""
+
+
+q("velocity_rolling", _velocity(86400, 8))
+q("velocity_60s", _velocity(60, 8))
+
+q("burst_sessions", f"""WITH {SILVER},
+s AS (
+  SELECT card_id, event_time, amount,
+    CASE WHEN lag(event_time) OVER w IS NULL OR event_time - lag(event_time) OVER w > INTERVAL '7200 seconds'
+      THEN 1 ELSE 0 END AS brk
+  FROM silver WINDOW w AS (PARTITION BY card_id ORDER BY event_time)
+),
+g AS (SELECT *, sum(brk) OVER (PARTITION BY card_id ORDER BY event_time ROWS UNBOUNDED PRECEDING) AS sid FROM s)
+SELECT card_id, min(event_time) AS session_start, max(event_time) AS session_end, count(*) AS n_txn,
+  sum(CAST(amount AS DECIMAL(18,2)))::DOUBLE AS total_amount
+FROM g GROUP BY card_id, sid HAVING count(*) >= 4""")
+
+PRIOR = f"""WITH {SILVER},
+p AS (
+  SELECT *, count(*) OVER w AS prior_n, sum(CAST(amount AS DECIMAL(18,2))) OVER w AS prior_sum,
+    stddev_samp(amount) OVER w AS prior_std
+  FROM silver WINDOW w AS (PARTITION BY card_id ORDER BY event_time, transaction_id
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
+pm AS (SELECT *, CASE WHEN prior_n > 0 THEN prior_sum::DOUBLE / prior_n END AS prior_mean FROM p)"""
+
+q("amount_spike", PRIOR + """
+SELECT transaction_id, card_id, event_time, amount, prior_n, round(prior_mean, 2) AS prior_mean,
+  round(prior_std, 2) AS prior_std
+FROM pm WHERE amount >= 200.0::DOUBLE AND prior_n >= 2 AND amount > prior_mean + 3.0::DOUBLE * prior_std""")
+
+q("fraud_score_event_time", PRIOR + f""",
+v AS (
+  SELECT *, count(*) OVER (PARTITION BY card_id ORDER BY event_time
+    RANGE BETWEEN INTERVAL '3600 seconds' PRECEDING AND CURRENT ROW) AS velocity_60m
+  FROM pm
+),
+loc AS (SELECT * FROM silver WHERE {LOC}),
+tp AS (
+  SELECT transaction_id, event_time, country, lat, lon, lag(event_time) OVER w AS pe, lag(country) OVER w AS pc,
+    lag(lat) OVER w AS plat, lag(lon) OVER w AS plon
+  FROM loc WINDOW w AS (PARTITION BY card_id ORDER BY event_time, transaction_id)
+),
+ta AS (
+  SELECT *, greatest(least(pow(sin(radians(lat - plat) / 2), 2)
+      + cos(radians(plat)) * cos(radians(lat)) * pow(sin(radians(lon - plon) / 2), 2), 1.0::DOUBLE), 0.0::DOUBLE) AS hav
+  FROM tp
+),
+tr AS (
+  SELECT transaction_id, event_time,
+    coalesce(country <> pc AND 6371.0::DOUBLE * 2 * atan2(sqrt(hav), sqrt(1.0::DOUBLE - hav)) >= 2000.0::DOUBLE
+      AND (epoch_us(event_time) - epoch_us(pe))::DOUBLE / 1000000.0::DOUBLE <= 300, false) AS travel
+  FROM ta
+),
+z AS (
+  SELECT v.*, coalesce(tr.travel, false) AS geo_anomaly_flag, velocity_60m >= 8 AS velocity_flag,
+    CASE WHEN prior_n >= 2 AND prior_std > 0 THEN (amount - prior_mean) / prior_std ELSE 0.0::DOUBLE END
+      AS amount_zscore
+  FROM v LEFT JOIN tr ON v.transaction_id = tr.transaction_id AND v.event_time = tr.event_time
+),
+s AS (
+  SELECT *, (CASE WHEN velocity_flag THEN 0.4::DOUBLE ELSE 0.0::DOUBLE END
+     + least(abs(amount_zscore), 5.0::DOUBLE) / 5.0::DOUBLE * 0.4::DOUBLE
+     + CASE WHEN geo_anomaly_flag THEN 0.2::DOUBLE ELSE 0.0::DOUBLE END) AS fraud_score
+  FROM z
+)
+SELECT transaction_id, card_id, event_time, velocity_60m, round(amount_zscore, 6) AS amount_zscore,
+  velocity_flag, geo_anomaly_flag, round(fraud_score, 6) AS fraud_score, fraud_score >= 0.7::DOUBLE AS is_alert
+FROM s""")
+
+HOME = f"""hc AS (
+  SELECT card_id, country, count(*) AS n FROM silver WHERE {LOC} AND country IS NOT NULL GROUP BY ALL
+),
+home AS (SELECT card_id, first(country ORDER BY n DESC, country ASC) AS home_country FROM hc GROUP BY card_id)"""
+
+q("card_profile", f"""WITH {SILVER},
+{HOME},
+sp AS (
+  SELECT card_id, count(*) AS n_txn, quantile_disc(amount, 0.05) AS typical_spend_low,
+    quantile_disc(amount, 0.95) AS typical_spend_high, min(event_time) AS first_seen, max(event_time) AS last_seen
+  FROM silver GROUP BY card_id
+)
+SELECT sp.card_id, n_txn, typical_spend_low, typical_spend_high, home_country, first_seen, last_seen
+FROM sp LEFT JOIN home ON sp.card_id = home.card_id""")
+
+q("merchant_enrich", f"""WITH {SILVER},
+mc AS (SELECT merchant_id, merchant_category AS v, count(*) AS n FROM silver WHERE merchant_category IS NOT NULL GROUP BY ALL),
+mk AS (SELECT merchant_id, country AS v, count(*) AS n FROM silver WHERE country IS NOT NULL GROUP BY ALL),
+c AS (SELECT merchant_id, first(v ORDER BY n DESC, v ASC) AS merchant_home_category FROM mc GROUP BY 1),
+k AS (SELECT merchant_id, first(v ORDER BY n DESC, v ASC) AS merchant_home_country FROM mk GROUP BY 1)
+SELECT s.transaction_id, s.merchant_id, s.merchant_category, c.merchant_home_category, k.merchant_home_country
+FROM silver s LEFT JOIN c ON s.merchant_id = c.merchant_id LEFT JOIN k ON s.merchant_id = k.merchant_id""")
+
+q("prev_txn", f"""WITH {SILVER}
+SELECT transaction_id, card_id, event_time, lag(transaction_id) OVER w AS prev_transaction_id,
+  lag(event_time) OVER w AS prev_event_time, lag(country) OVER w AS prev_country,
+  lag(lat) OVER w AS prev_lat, lag(lon) OVER w AS prev_lon
+FROM silver WINDOW w AS (PARTITION BY card_id ORDER BY event_time, transaction_id)""")
+
+q("foreign_txn", f"""WITH {SILVER},
+{HOME}
+SELECT s.transaction_id, s.card_id, s.country, h.home_country,
+  coalesce(({LOC.replace('lat', 's.lat').replace('lon', 's.lon')}) AND s.country <> h.home_country, false) AS is_foreign
+FROM silver s LEFT JOIN home h ON s.card_id = h.card_id""")
