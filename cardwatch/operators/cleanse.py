@@ -8,15 +8,16 @@ from pyspark.sql import functions as F
 from cardwatch import schema as S
 from cardwatch.functions.columns import event_time
 
-# ordered rule list: the first failing rule names the reject reason
-RULES: list[tuple[str, Column]] = [
-    ("missing_transaction_id", F.col("transaction_id").isNull()),
-    ("missing_card_id", F.col("card_id").isNull()),
-    ("missing_amount", F.col("amount").isNull()),
-    ("nan_amount", F.isnan(F.col("amount"))),
-    ("non_positive_amount", F.col("amount") <= 0),
-    ("bad_event_time", F.col("event_time").isNull()),
-]
+def rules() -> list[tuple[str, Column]]:
+    """Ordered rule list: the first failing rule names the reject reason."""
+    return [
+        ("missing_transaction_id", F.col("transaction_id").isNull()),
+        ("missing_card_id", F.col("card_id").isNull()),
+        ("missing_amount", F.col("amount").isNull()),
+        ("nan_amount", F.isnan(F.col("amount"))),
+        ("non_positive_amount", F.col("amount") <= 0),
+        ("bad_event_time", F.col("event_time").isNull()),
+    ]
 
 
 def with_event_time(df: DataFrame, src: str = "timestamp", dst: str = "event_time") -> DataFrame:
@@ -42,7 +43,7 @@ def valid_predicate(reject_nan: bool = True) -> Column:
 
 def reject_reason(reject_nan: bool = True) -> Column:
     expr = None
-    for name, failed in RULES:
+    for name, failed in rules():
         if name == "nan_amount" and not reject_nan:
             continue
         expr = (F.when if expr is None else expr.when)(failed, F.lit(name))

@@ -304,3 +304,49 @@ def q_foreign_txn(spark, sf_dir):
     s = silver_of(spark, sf_dir)
     f = profile.foreign_txn(s, profile.card_profile(s), min_hot_rows=50, max_hot_keys=8, fan_out=4)
     return f.select("transaction_id", "card_id", "country", "home_country", "is_foreign")
+
+
+# event-time metrics -------------------------------------------------------------
+
+from cardwatch.operators import metrics  # noqa: E402
+
+
+@register("events_per_minute")
+def q_events_per_minute(spark, sf_dir):
+    return metrics.events_per_minute(silver_of(spark, sf_dir))
+
+
+@register("fraud_rate_rolling")
+def q_fraud_rate_rolling(spark, sf_dir):
+    m = metrics.fraud_rate_rolling(silver_of(spark, sf_dir))
+    return m.withColumn("fraud_rate_pct", F.round("fraud_rate_pct", 6))
+
+
+@register("events_per_second")
+def q_events_per_second(spark, sf_dir):
+    return metrics.events_per_second(silver_of(spark, sf_dir))
+
+
+@register("cumulative_events")
+def q_cumulative_events(spark, sf_dir):
+    return metrics.cumulative_events(silver_of(spark, sf_dir))
+
+
+@register("health_status")
+def q_health_status(spark, sf_dir):
+    m = metrics.health_status(silver_of(spark, sf_dir))
+    return m.withColumn("fraud_rate_pct", F.round("fraud_rate_pct", 6))
+
+
+@register("per_second_status")
+def q_per_second_status(spark, sf_dir):
+    return metrics.per_second_status(silver_of(spark, sf_dir))
+
+
+@register("layer_lag")
+def q_layer_lag(spark, sf_dir):
+    """T9 on a decoded envelope of the events (message time = event time);
+    values depend on the wall clock, so rows-only."""
+    env = envelope.to_envelope(load_transactions(spark, sf_dir))
+    bronze = envelope.decode_envelope(env)
+    return metrics.layer_lag(bronze)

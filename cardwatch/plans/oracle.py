@@ -435,3 +435,52 @@ q("foreign_txn", f"""WITH {SILVER},
 SELECT s.transaction_id, s.card_id, s.country, h.home_country,
   coalesce(({LOC.replace('lat', 's.lat').replace('lon', 's.lon')}) AND s.country <> h.home_country, false) AS is_foreign
 FROM silver s LEFT JOIN home h ON s.card_id = h.card_id""")
+
+# --- metrics -------------------------------------------------------------------------
+
+
+def _slide(size_s: int, step_s: int, by_label: bool) -> str:
+    k, us = size_s // step_s, step_s * 1_000_000
+    grp = "start, is_fraud" if by_label else "start"
+    lab = "is_fraud" if by_label else "NULL::BOOLEAN AS is_fraud"
+    return f"""(SELECT make_timestamp(start * {us}) AS window_start, make_timestamp((start + {k}) * {us}) AS window_end,
+    {lab}, count(*) AS events, count(*) FILTER (WHERE coalesce(is_fraud, false)) AS fraud_events
+  FROM (SELECT epoch_us(event_time) // {us} - unnest(generate_series(0, {k - 1})) AS start, is_fraud FROM silver)
+  GROUP BY {grp})"""
+
+
+q("events_per_minute", f"""WITH {SILVER},
+u AS (SELECT * FROM {_slide(60, 15, True)} UNION ALL SELECT * FROM {_slide(60, 15, False)})
+SELECT window_start, window_end, is_fraud, events, events * 60.0::DOUBLE / 60.0::DOUBLE AS events_per_min FROM u""")
+
+q("fraud_rate_rolling", f"""WITH {SILVER}
+SELECT window_start, window_end, events, fraud_events,
+  round(fraud_events * 100.0::DOUBLE / events::DOUBLE, 6) AS fraud_rate_pct
+FROM {_slide(120, 15, False)}""")
+
+q("events_per_second", f"""WITH {SILVER}
+SELECT window_start, window_end, events, events / 5.0::DOUBLE AS events_per_sec FROM {_slide(5, 1, False)}""")
+
+q("cumulative_events", f"""WITH {SILVER},
+s AS (SELECT epoch_us(event_time) // 60000000 AS step, is_fraud, count(*) AS events FROM silver GROUP BY ALL)
+SELECT make_timestamp(step * 60000000) AS step_start, is_fraud, events,
+  sum(events) OVER (PARTITION BY is_fraud ORDER BY step ROWS UNBOUNDED PRECEDING)::BIGINT AS cumulative_events
+FROM s""")
+
+q("health_status", f"""WITH {SILVER},
+r AS (SELECT window_end, events * 1.0::DOUBLE AS events_per_min FROM {_slide(60, 15, False)}),
+f AS (SELECT window_end, fraud_events * 100.0::DOUBLE / events::DOUBLE AS fraud_rate_pct FROM {_slide(120, 15, False)}),
+j AS (SELECT coalesce(r.window_end, f.window_end) AS window_end, coalesce(events_per_min, 0.0::DOUBLE) AS events_per_min,
+  fraud_rate_pct FROM r FULL JOIN f ON r.window_end = f.window_end)
+SELECT window_end, events_per_min, round(fraud_rate_pct, 6) AS fraud_rate_pct,
+  CASE WHEN events_per_min < 500 THEN 'red' WHEN events_per_min < 800 THEN 'yellow' ELSE 'green' END AS rate_status,
+  CASE WHEN fraud_rate_pct IS NULL THEN NULL WHEN fraud_rate_pct < 3 THEN 'green' WHEN fraud_rate_pct < 10 THEN 'yellow'
+    ELSE 'red' END AS fraud_status
+FROM j""")
+
+q("per_second_status", f"""WITH {SILVER},
+e AS (SELECT window_end, events / 5.0::DOUBLE AS events_per_sec FROM {_slide(5, 1, False)})
+SELECT window_end, events_per_sec,
+  CASE WHEN events_per_sec < 10 THEN 'red' WHEN events_per_sec < 15 THEN 'yellow' WHEN events_per_sec < 30 THEN 'green'
+    WHEN events_per_sec < 100 THEN 'yellow' ELSE 'red' END AS status
+FROM e""")
