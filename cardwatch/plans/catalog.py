@@ -350,3 +350,74 @@ def q_layer_lag(spark, sf_dir):
     env = envelope.to_envelope(load_transactions(spark, sf_dir))
     bronze = envelope.decode_envelope(env)
     return metrics.layer_lag(bronze)
+
+
+# streaming jobs ------------------------------------------------------------------
+
+import uuid  # noqa: E402
+
+from cardwatch.session import scratch_path  # noqa: E402
+from cardwatch.sources.layers import LayerPaths, read_table  # noqa: E402
+from cardwatch.streaming import jobs  # noqa: E402
+
+
+def run_stream_pipeline(spark: SparkSession, sf_dir: str, n_files: int = 4) -> jobs.StreamConfig:
+    """Replay the events as envelope files through bronze -> silver -> gold
+    with ``availableNow``: bronze and silver take one file per micro-batch
+    (watermark advances between batches), gold drains silver in one batch."""
+    base = scratch_path(spark, f"pipeline-{uuid.uuid4().hex[:12]}")
+    src = f"{base}/source"
+    jobs.write_envelope_files(load_transactions(spark, sf_dir), src, n_files)
+    cfg = jobs.StreamConfig(paths=LayerPaths(base), source_format="parquet", source_path=src,
+                            max_files_per_trigger=1, available_now=True)
+    for q in [jobs.run_bronze(spark, cfg)]:
+        q.awaitTermination()
+    for q in jobs.run_silver(spark, cfg):
+        q.awaitTermination()
+    cfg.max_files_per_trigger = None
+    jobs.run_gold(spark, cfg).awaitTermination()
+    return cfg
+
+
+@register("silver_stream")
+def q_silver_stream(spark, sf_dir):
+    """T1 + S5 on a stream: decode, validate, watermark dedup, append."""
+    cfg = run_stream_pipeline(spark, sf_dir)
+    s = read_table(spark, cfg.paths.silver)
+    return s.select("transaction_id", "card_id", "amount", _et())
+
+
+@register("gold_stream")
+def q_gold_stream(spark, sf_dir):
+    """T2 + S6 on a stream (one gold micro-batch)."""
+    cfg = run_stream_pipeline(spark, sf_dir)
+    return _gold_view(read_table(spark, cfg.paths.gold))
+
+
+def _gold_view(g):
+    return g.select("transaction_id", "card_id", _et(), "velocity_60m", r6("amount_zscore"),
+                    "velocity_flag", "geo_anomaly_flag", r6("fraud_score"), "batch_id")
+
+
+@register("gold_replay_idempotent")
+def q_gold_replay_idempotent(spark, sf_dir):
+    """The gold batch is processed again with the same batch id (a retry);
+    the table must hold each row once."""
+    cfg = run_stream_pipeline(spark, sf_dir)
+    silver = read_table(spark, cfg.paths.silver)
+    jobs.process_gold_batch(silver, 0, cfg)
+    return _gold_view(read_table(spark, cfg.paths.gold))
+
+
+@register("batch_audit")
+def q_batch_audit(spark, sf_dir):
+    """Per-batch audit rows written by the gold job."""
+    cfg = run_stream_pipeline(spark, sf_dir)
+    return read_table(spark, cfg.paths.audit).select("batch_id", "rows_in", "alerts", "alert_pct")
+
+
+@register("alerts_stream")
+def q_alerts_stream(spark, sf_dir):
+    """S8 from the gold job: JSON alert files keyed by transaction id."""
+    cfg = run_stream_pipeline(spark, sf_dir)
+    return read_table(spark, cfg.paths.alerts, "json").select("key", "value")

@@ -484,3 +484,21 @@ SELECT window_end, events_per_sec,
   CASE WHEN events_per_sec < 10 THEN 'red' WHEN events_per_sec < 15 THEN 'yellow' WHEN events_per_sec < 30 THEN 'green'
     WHEN events_per_sec < 100 THEN 'yellow' ELSE 'red' END AS status
 FROM e""")
+
+# --- streaming jobs (results must equal the batch functions) ------------------------
+
+q("silver_stream", f"""WITH {SILVER} SELECT transaction_id, card_id, amount, event_time FROM silver""")
+
+_GOLD_VIEW = f"""WITH {GOLD}
+SELECT transaction_id, card_id, event_time, velocity_60m, round(amount_zscore, 6) AS amount_zscore,
+  velocity_flag, geo_anomaly_flag, round(fraud_score, 6) AS fraud_score, 0::BIGINT AS batch_id
+FROM gold"""
+q("gold_stream", _GOLD_VIEW)
+q("gold_replay_idempotent", _GOLD_VIEW)
+
+q("batch_audit", f"""WITH {GOLD}
+SELECT 0::BIGINT AS batch_id, count(*) AS rows_in, count(*) FILTER (WHERE fraud_score >= 0.7::DOUBLE) AS alerts,
+  round(count(*) FILTER (WHERE fraud_score >= 0.7::DOUBLE) * 100.0::DOUBLE / count(*)::DOUBLE, 2) AS alert_pct
+FROM gold""")
+
+q("alerts_stream", ORACLE["alerts_payload"])

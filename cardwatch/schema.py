@@ -49,6 +49,15 @@ BRONZE_SCHEMA = T.StructType(
     ]
 )
 
+# raw message coordinates kept in bronze by the stream job (quarantine / replay)
+RAW_FIELDS = [
+    T.StructField("raw_value", T.StringType(), True),
+    T.StructField("topic", T.StringType(), True),
+    T.StructField("partition", T.IntegerType(), True),
+    T.StructField("offset", T.LongType(), True),
+]
+BRONZE_RAW_SCHEMA = T.StructType(BRONZE_SCHEMA.fields + RAW_FIELDS)
+
 # silver = bronze + parsed event time
 SILVER_SCHEMA = T.StructType(
     BRONZE_SCHEMA.fields + [T.StructField("event_time", T.TimestampType(), True)]
