@@ -421,3 +421,25 @@ def q_alerts_stream(spark, sf_dir):
     """S8 from the gold job: JSON alert files keyed by transaction id."""
     cfg = run_stream_pipeline(spark, sf_dir)
     return read_table(spark, cfg.paths.alerts, "json").select("key", "value")
+
+
+@register("velocity_stateful")
+def q_velocity_stateful(spark, sf_dir):
+    """Keyed-state trailing count (24 h, as velocity_rolling) over an
+    in-order replay of the events in 8 micro-batches."""
+    from cardwatch.streaming.stateful import velocity_stateful
+
+    base = scratch_path(spark, f"stateful-{uuid.uuid4().hex[:12]}")
+    src = f"{base}/source"
+    jobs.write_envelope_files(load_transactions(spark, sf_dir), src, 8)
+    cfg = jobs.StreamConfig(paths=LayerPaths(base), source_format="parquet", source_path=src,
+                            max_files_per_trigger=1, available_now=True)
+    silver = cleanse.silver(envelope.decode_envelope(jobs.message_source(spark, cfg)))
+    v = velocity_stateful(silver, window_s=86400, watermark=None)
+    q = (v.writeStream.format("parquet").outputMode("append")
+         .option("checkpointLocation", f"{base}/checkpoints/velocity")
+         .trigger(availableNow=True).start(f"{base}/velocity"))
+    q.awaitTermination()
+    out = read_table(spark, f"{base}/velocity")
+    return out.select("transaction_id", "card_id", _et(), "velocity",
+                      (F.col("velocity") >= 8).alias("velocity_flag"))

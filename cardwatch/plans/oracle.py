@@ -502,3 +502,5 @@ SELECT 0::BIGINT AS batch_id, count(*) AS rows_in, count(*) FILTER (WHERE fraud_
 FROM gold""")
 
 q("alerts_stream", ORACLE["alerts_payload"])
+
+q("velocity_stateful", ORACLE["velocity_rolling"])
