@@ -34,12 +34,17 @@ def bronze_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return envelope.ingest_batch(load_transactions(spark, sf_dir))
 
 
-def silver_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleanse.silver(load_transactions(spark, sf_dir))
+def silver_of(spark: SparkSession, sf_dir: str, materialize: bool = False) -> DataFrame:
+    """Silver rows.  ``materialize`` writes them once to the shared
+    checkpoint folder (as the silver job's table would be) for plans that
+    read silver in several branches; otherwise each branch would repeat the
+    de-duplication shuffle."""
+    s = cleanse.silver(load_transactions(spark, sf_dir))
+    return s.checkpoint() if materialize else s
 
 
 def gold_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score.score_batch(silver_of(spark, sf_dir), processed_at=False)
+    return score.score_batch(silver_of(spark, sf_dir, materialize=True), processed_at=False)
 
 
 def dirty_bronze_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,7 +95,7 @@ def q_card_zscore(spark, sf_dir):
 @register("card_stats_join")
 def q_card_stats_join(spark, sf_dir):
     """J1 with a low hot-card bound so the salted path runs on test data."""
-    g = score.score_batch(silver_of(spark, sf_dir), processed_at=False,
+    g = score.score_batch(silver_of(spark, sf_dir, materialize=True), processed_at=False,
                           min_hot_rows=50, max_hot_keys=8, fan_out=4)
     return g.select("transaction_id", "card_id", "velocity_60m", r6("amount_zscore"))
 
@@ -233,20 +238,20 @@ def _travel_view(t):
 @register("impossible_travel")
 def q_impossible_travel(spark, sf_dir):
     """W2 with a 1 h gap bound (test constant), 2000 km."""
-    return _travel_view(detect.impossible_travel(silver_of(spark, sf_dir), max_gap_s=3600))
+    return _travel_view(detect.impossible_travel(silver_of(spark, sf_dir, materialize=True), max_gap_s=3600))
 
 
 @register("impossible_travel_5m")
 def q_impossible_travel_5m(spark, sf_dir):
     """W2 with the production 5 min / 2000 km rule."""
-    return _travel_view(detect.impossible_travel(silver_of(spark, sf_dir)))
+    return _travel_view(detect.impossible_travel(silver_of(spark, sf_dir, materialize=True)))
 
 
 @register("haversine")
 def q_haversine(spark, sf_dir):
     """Distance of each located transaction from the card's previous
     located transaction."""
-    t = detect.impossible_travel(silver_of(spark, sf_dir))
+    t = detect.impossible_travel(silver_of(spark, sf_dir, materialize=True))
     return t.filter(F.col("prev_transaction_id").isNotNull() & has_location("lat", "lon")).select("transaction_id", "prev_transaction_id", F.round("distance_km", 3).alias("distance_km"))
 
 
@@ -260,7 +265,7 @@ def q_burst_sessions(spark, sf_dir):
 @register("amount_spike")
 def q_amount_spike(spark, sf_dir):
     """W4 with a 200 floor (test constant), mean + 3 sd of >= 2 prior rows."""
-    s = detect.amount_spike(silver_of(spark, sf_dir), min_amount=200.0)
+    s = detect.amount_spike(silver_of(spark, sf_dir, materialize=True), min_amount=200.0)
     return s.filter("spike_flag").select(
         "transaction_id", "card_id", _et(), "amount", "prior_n",
         F.round("prior_mean", 2).alias("prior_mean"), F.round("prior_std", 2).alias("prior_std"),
@@ -270,7 +275,7 @@ def q_amount_spike(spark, sf_dir):
 @register("fraud_score_event_time")
 def q_fraud_score_event_time(spark, sf_dir):
     """W5 with production constants (60 min velocity, 5 min / 2000 km travel)."""
-    g = detect.score_event_time(silver_of(spark, sf_dir))
+    g = detect.score_event_time(silver_of(spark, sf_dir, materialize=True))
     return g.select(
         "transaction_id", "card_id", _et(), "velocity_60m", r6("amount_zscore"), "velocity_flag",
         "geo_anomaly_flag", r6("fraud_score"), (F.col("fraud_score") >= 0.70).alias("is_alert"),
@@ -279,14 +284,14 @@ def q_fraud_score_event_time(spark, sf_dir):
 
 @register("card_profile")
 def q_card_profile(spark, sf_dir):
-    p = profile.card_profile(silver_of(spark, sf_dir))
+    p = profile.card_profile(silver_of(spark, sf_dir, materialize=True))
     return p.select("card_id", "n_txn", "typical_spend_low", "typical_spend_high", "home_country",
                     _et("first_seen"), _et("last_seen"))
 
 
 @register("merchant_enrich")
 def q_merchant_enrich(spark, sf_dir):
-    s = silver_of(spark, sf_dir)
+    s = silver_of(spark, sf_dir, materialize=True)
     e = profile.merchant_enrich(s, profile.merchant_dim(s))
     return e.select("transaction_id", "merchant_id", "merchant_category", "merchant_home_category",
                     "merchant_home_country")
@@ -294,14 +299,14 @@ def q_merchant_enrich(spark, sf_dir):
 
 @register("prev_txn")
 def q_prev_txn(spark, sf_dir):
-    p = profile.prev_txn(silver_of(spark, sf_dir))
+    p = profile.prev_txn(silver_of(spark, sf_dir, materialize=True))
     return p.select("transaction_id", "card_id", _et(), "prev_transaction_id", _et("prev_event_time"),
                     "prev_country", "prev_lat", "prev_lon")
 
 
 @register("foreign_txn")
 def q_foreign_txn(spark, sf_dir):
-    s = silver_of(spark, sf_dir)
+    s = silver_of(spark, sf_dir, materialize=True)
     f = profile.foreign_txn(s, profile.card_profile(s), min_hot_rows=50, max_hot_keys=8, fan_out=4)
     return f.select("transaction_id", "card_id", "country", "home_country", "is_foreign")
 
@@ -313,7 +318,7 @@ from cardwatch.operators import metrics  # noqa: E402
 
 @register("events_per_minute")
 def q_events_per_minute(spark, sf_dir):
-    return metrics.events_per_minute(silver_of(spark, sf_dir))
+    return metrics.events_per_minute(silver_of(spark, sf_dir, materialize=True))
 
 
 @register("fraud_rate_rolling")
@@ -334,7 +339,7 @@ def q_cumulative_events(spark, sf_dir):
 
 @register("health_status")
 def q_health_status(spark, sf_dir):
-    m = metrics.health_status(silver_of(spark, sf_dir))
+    m = metrics.health_status(silver_of(spark, sf_dir, materialize=True))
     return m.withColumn("fraud_rate_pct", F.round("fraud_rate_pct", 6))
 
 
