@@ -157,3 +157,28 @@ def layer_lag(bronze: DataFrame, gold: DataFrame | None = None, accuracy: int =
     if gold is not None:
         out = out.unionByName(pcts(gold, "event_time", "gold_processed_at", "event_to_gold"))
     return out
+
+
+def windowed_counts_stream(
+    df: DataFrame,
+    size: str = "1 minute",
+    step: str = "15 seconds",
+    watermark: str = S.WATERMARK_DELAY,
+) -> DataFrame:
+    """T4/T5 on a stream: ``window(event_time, size, step)`` counts per label
+    under a watermark (append mode emits a window once the watermark passes
+    its end; update mode emits running values)."""
+    src = df.withWatermark("event_time", watermark) if df.isStreaming else df
+    return src.groupBy(F.window("event_time", size, step).alias("w"), "is_fraud").agg(
+        F.count(F.lit(1)).alias("events")
+    ).select(
+        F.col("w.start").cast("timestamp_ntz").alias("window_start"),
+        F.col("w.end").cast("timestamp_ntz").alias("window_end"),
+        "is_fraud", "events",
+    )
+
+
+def cumulative_events_stream(df: DataFrame) -> DataFrame:
+    """T7 on a stream: running totals per label (complete or update mode;
+    the state is one row per label)."""
+    return df.groupBy("is_fraud").agg(F.count(F.lit(1)).alias("cumulative_events"))

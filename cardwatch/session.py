@@ -19,6 +19,8 @@ DEFAULT_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.ui.enabled": "false",
+    # checkpoint files of DataFrames that are gone are removed
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

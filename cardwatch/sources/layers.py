@@ -93,3 +93,12 @@ def write_batch(
     else:
         (w.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").save(path))
+
+
+def table_history(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
+    """The table's own write history where the format keeps one
+    (``DESCRIBE HISTORY`` on delta); None for plain parquet, whose audit is
+    the per-batch audit table written by the gold job."""
+    if fmt != "delta":
+        return None
+    return spark.sql(f"DESCRIBE HISTORY delta.`{path}`")

@@ -59,3 +59,28 @@ def test_batch_and_stream_silver_agree(spark, tmp_dir):
     assert rej == {"b": "bad_event_time", "c": "non_positive_amount"}
     batch = cleanse.silver(spark.read.parquet(cfg.paths.bronze))
     assert batch.count() == 1
+
+
+def test_stream_metrics_equal_batch(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from cardwatch.operators import metrics
+    from cardwatch.plans.catalog import silver_of
+    from conftest import SF_SMALL
+
+    silver = silver_of(spark, SF_SMALL)
+    path = os.path.join(tmp_dir, "silver")
+    silver.write.parquet(path)
+    stream = spark.readStream.schema(silver.schema).parquet(path)
+    q = (metrics.cumulative_events_stream(stream).writeStream.format("memory").queryName("cum_t7")
+         .outputMode("complete").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = {r.is_fraud: r.cumulative_events for r in spark.table("cum_t7").collect()}
+    exp = {r.is_fraud: r.n for r in silver.groupBy("is_fraud").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert got == exp
+    w = (metrics.windowed_counts_stream(stream).writeStream.format("memory").queryName("win_t4")
+         .outputMode("update").trigger(availableNow=True).start())
+    w.awaitTermination()
+    batch = metrics.sliding_counts(silver, 60, 15, ["is_fraud"]).select("window_start", "is_fraud", "events")
+    got = spark.table("win_t4").select("window_start", "is_fraud", "events")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, batch.collect()))
