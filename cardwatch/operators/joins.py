@@ -7,8 +7,8 @@
   hottest keys are spread over ``fan_out`` tasks: the fact rows of a hot key
   get a deterministic salt from their own columns (so a re-run after a lost
   executor gives the same rows), the dimension row of a hot key is repeated
-  once per salt.  Only the top ``max_hot_keys`` keys are salted, so the
-  broadcast list of hot keys has a proven size bound.
+  once per salt.  Only the top ``max_hot_keys`` keys are salted, so the hot
+  key list that enters the plan as a literal set has a proven size bound.
 """
 
 from __future__ import annotations
@@ -60,24 +60,28 @@ def salted_enrich(
     min_hot_rows: int = DEFAULT_HOT_ROWS,
     max_hot_keys: int = DEFAULT_HOT_KEYS,
     fan_out: int = DEFAULT_FAN_OUT,
+    hot: Sequence | None = None,
 ) -> DataFrame:
     """``fact.join(dim, key, how)`` with hot keys split over ``fan_out`` tasks.
 
     ``dim`` must have one row per ``key`` and a ``weight`` column that counts
-    the key's fact rows.  The result has ``key`` first, then the fact columns,
-    then the dimension columns (the shape of a USING join).
+    the key's fact rows.  The hot keys (at most ``max_hot_keys`` values, taken
+    by one top-k job unless given as ``hot``) enter the plan as a literal
+    set.  The result has ``key`` first, then the fact columns, then the
+    dimension columns (the shape of a USING join).
     """
-    hot = F.broadcast(hot_keys(dim, key, weight, min_hot_rows, max_hot_keys).withColumn("_hot", F.lit(True)))
-    f = fact.join(hot, key, "left").withColumn(
-        "_salt",
-        F.when(F.col("_hot"), F.pmod(F.xxhash64(*salt_cols), F.lit(fan_out))).otherwise(F.lit(0)).cast("int"),
-    ).drop("_hot")
-    d = dim.join(hot, key, "left").withColumn(
-        "_salt",
-        F.explode(
-            F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(fan_out - 1))).otherwise(F.array(F.lit(0)))
-        ),
-    ).drop("_hot")
+    if hot is None:
+        hot = [r[0] for r in hot_keys(dim, key, weight, min_hot_rows, max_hot_keys).collect()]
     fact_cols = [c for c in fact.columns if c != key]
     dim_cols = [c for c in dim.columns if c != key]
+    if not hot:
+        return fact.join(dim, key, how).select(key, *fact_cols, *dim_cols)
+    is_hot = F.col(key).isin(list(hot))
+    f = fact.withColumn(
+        "_salt", F.when(is_hot, F.pmod(F.xxhash64(*salt_cols), F.lit(fan_out))).otherwise(F.lit(0)).cast("int")
+    )
+    d = dim.withColumn(
+        "_salt",
+        F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(fan_out - 1))).otherwise(F.array(F.lit(0)))),
+    )
     return f.join(d, [key, "_salt"], how).select(key, *fact_cols, *dim_cols)
