@@ -49,9 +49,23 @@ def build_session(
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("WARN")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+def apply_runtime_conf(spark: SparkSession) -> None:
+    """Apply the engine's SQL settings to a session built elsewhere (e.g. by
+    a driver); static settings that can no longer change are skipped."""
+    for k, v in DEFAULT_CONF.items():
+        if not k.startswith("spark.sql."):
+            continue
+        try:
+            if spark.conf.get(k, None) != v:
+                spark.conf.set(k, v)
+        except Exception:  # noqa: BLE001 - static conf of a running session
+            pass
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
@@ -67,6 +81,31 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``cardwatch`` importable in executor Python workers (needed by
+    the keyed-state pandas function of the stateful operator).  Same as
+    ``--py-files``: the driver zips the package once and Spark distributes
+    it; skipped when workers can already import it from an installed copy."""
+    sc = spark.sparkContext
+    if id(sc) in _SHIPPED:
+        return
+    import zipfile
+
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="cardwatch-pyfiles-"), "cardwatch.zip")
+    with zipfile.ZipFile(out, "w") as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(id(sc))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for intermediate tables."""
     return os.path.join(ensure_checkpoint_dir(spark), name)
