@@ -69,25 +69,41 @@ def burst_sessions(
     df: DataFrame,
     gap_s: int = S.BURST_WINDOW_S,
     min_count: int = S.BURST_MIN_COUNT,
+    bucket_s: int = DEFAULT_BUCKET_S,
 ) -> DataFrame:
     """A card's transactions joined while gaps are <= ``gap_s``; sessions
     with at least ``min_count`` rows.  ``session_end`` is the last event.
 
-    ``session_window`` aggregation merges sessions inside each input
-    partition before the shuffle, so a busy card ships session fragments,
-    not rows.
+    Batch: a row opens a session when its gap to the card's previous row
+    exceeds ``gap_s``; the session id is the running count of openings.  Both
+    steps are bucketed (``previous_row``, ``prefix_sums``), and the final
+    per-session aggregation combines map-side, so neither a busy card nor a
+    long burst lands in one task.  Streams use ``session_window`` (sessions
+    are merged inside each input partition before the shuffle when the
+    session sets ``...sessionWindow.merge.sessions.in.local.partition``).
     """
-    sw = F.session_window("event_time", f"{gap_s} seconds")
+    agg = [
+        F.min("event_time").alias("session_start"),
+        F.max("event_time").alias("session_end"),
+        F.count(F.lit(1)).alias("n_txn"),
+        F.sum(F.col("amount").cast("decimal(18,2)")).cast("double").alias("total_amount"),
+    ]
+    if df.isStreaming:
+        sw = F.session_window("event_time", f"{gap_s} seconds")
+        return (df.groupBy("card_id", sw.alias("sw")).agg(*agg)
+                .filter(F.col("n_txn") >= min_count).drop("sw"))
+    rows = df.select("card_id", "transaction_id", "event_time", "amount")
+    p = previous_row(rows, "card_id", ORDER, [], bucket_s=bucket_s)
+    gap = F.unix_micros("event_time") - F.unix_micros("prev_event_time")
+    p = p.withColumn(
+        "_open", (F.col("prev_event_time").isNull() | (gap > F.lit(gap_s * 1_000_000))).cast("long")
+    ).drop("prev_event_time", "prev_transaction_id")
+    s = prefix_sums(p, "card_id", ORDER, {"open": F.col("_open")}, prefix="_prior_", bucket_s=bucket_s)
+    sid = (F.col("_prior_open") + F.col("_open")).alias("_sid")
     return (
-        df.groupBy("card_id", sw.alias("sw"))
-        .agg(
-            F.min("event_time").alias("session_start"),
-            F.max("event_time").alias("session_end"),
-            F.count(F.lit(1)).alias("n_txn"),
-            F.sum(F.col("amount").cast("decimal(18,2)")).cast("double").alias("total_amount"),
-        )
+        s.groupBy("card_id", sid).agg(*agg)
         .filter(F.col("n_txn") >= min_count)
-        .drop("sw")
+        .drop("_sid")
     )
 
 

@@ -81,3 +81,16 @@ def test_salted_plan_splits_hot_key(rows):
         rows.select("transaction_id", F.pmod(F.xxhash64("transaction_id"), F.lit(8)).alias("salt")), "transaction_id"
     ).filter("card_id = 'HOT'").groupBy("salt").count()
     assert per_salt.count() == 8
+
+
+def test_bucketed_sessions_match_session_window(rows):
+    from cardwatch.operators.detect import burst_sessions
+
+    got = burst_sessions(rows, gap_s=120, min_count=1, bucket_s=600)
+    sw = F.session_window("event_time", "120 seconds")
+    exp = rows.groupBy("card_id", sw).agg(
+        F.min("event_time").alias("session_start"), F.max("event_time").alias("session_end"),
+        F.count(F.lit(1)).alias("n_txn"),
+        F.sum(F.col("amount").cast("decimal(18,2)")).cast("double").alias("total_amount"),
+    ).drop("session_window")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, exp.select(got.columns).collect()))
