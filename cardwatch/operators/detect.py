@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cardwatch import schema as S
 from cardwatch.functions.columns import composite_score, has_location, haversine_km
-from cardwatch.operators.sequence import B, DEFAULT_BUCKET_S, previous_row, prefix_sums, rolling_count
+from cardwatch.operators.sequence import B, DEFAULT_BUCKET_S, gap_opens, previous_row, prefix_sums, rolling_count
 
 ORDER = ("event_time", "transaction_id")
 
@@ -76,7 +76,7 @@ def burst_sessions(
 
     Batch: a row opens a session when its gap to the card's previous row
     exceeds ``gap_s``; the session id is the running count of openings.  Both
-    steps are bucketed (``previous_row``, ``prefix_sums``), and the final
+    steps are bucketed (``gap_opens``, ``prefix_sums``), and the final
     per-session aggregation combines map-side, so neither a busy card nor a
     long burst lands in one task.  Streams use ``session_window`` (sessions
     are merged inside each input partition before the shuffle when the
@@ -92,13 +92,10 @@ def burst_sessions(
         sw = F.session_window("event_time", f"{gap_s} seconds")
         return (df.groupBy("card_id", sw.alias("sw")).agg(*agg)
                 .filter(F.col("n_txn") >= min_count).drop("sw"))
+    b_s = max(bucket_s, gap_s)
     rows = df.select("card_id", "transaction_id", "event_time", "amount")
-    p = previous_row(rows, "card_id", ORDER, [], bucket_s=bucket_s)
-    gap = F.unix_micros("event_time") - F.unix_micros("prev_event_time")
-    p = p.withColumn(
-        "_open", (F.col("prev_event_time").isNull() | (gap > F.lit(gap_s * 1_000_000))).cast("long")
-    ).drop("prev_event_time", "prev_transaction_id")
-    s = prefix_sums(p, "card_id", ORDER, {"open": F.col("_open")}, prefix="_prior_", bucket_s=bucket_s)
+    p = gap_opens(rows, "card_id", ORDER, gap_s, bucket_s=b_s)
+    s = prefix_sums(p, "card_id", ORDER, {"open": F.col("_open")}, prefix="_prior_", bucket_s=b_s)
     sid = (F.col("_prior_open") + F.col("_open")).alias("_sid")
     return (
         s.groupBy("card_id", sid).agg(*agg)

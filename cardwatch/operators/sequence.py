@@ -5,9 +5,10 @@ task; one card can hold a third of all rows.  These helpers partition by
 ``(key, time bucket)`` instead and bring in what a bucket needs from earlier
 buckets:
 
-* ``rolling_count``  - trailing-time-window counts: each row is also copied
-  into the next bucket when it lies within the window of that bucket's start
-  (bucket width >= window, so at most one copy).
+* ``rolling_count`` / ``gap_opens`` - trailing-window counts and session
+  openings: each row is also copied into the next bucket when it lies within
+  the window of that bucket's start (bucket width >= window, so at most one
+  copy).
 * ``previous_row``   - exact "previous row" over the whole history of a key:
   inside the bucket a running ``last``, for the first rows of a bucket the
   last row of the key's latest earlier bucket.
@@ -38,6 +39,25 @@ def with_bucket(df: DataFrame, ts: str, bucket_s: int) -> DataFrame:
     return df.withColumn(B, F.floor(F.unix_micros(F.col(ts)) / F.lit(bucket_s * 1_000_000)).cast("long"))
 
 
+def with_overlap(df: DataFrame, ts: str, overlap_s: int, bucket_s: int) -> DataFrame:
+    """Rows with bucket ``_b`` plus a copy in the next bucket for rows within
+    ``overlap_s`` of its start (``_home`` keeps the row's own bucket, ``_us``
+    its time in microseconds).  Needs ``bucket_s >= overlap_s``."""
+    if bucket_s < overlap_s:
+        raise ValueError("bucket_s must be >= the window / gap")
+    o_us, b_us = overlap_s * 1_000_000, bucket_s * 1_000_000
+    d = with_bucket(df, ts, bucket_s).withColumnRenamed(B, "_home")
+    us = F.unix_micros(F.col(ts))
+    next_start = (F.col("_home") + 1) * F.lit(b_us)
+    return d.withColumn(
+        B,
+        F.explode(
+            F.when(us >= next_start - F.lit(o_us), F.array(F.col("_home"), F.col("_home") + 1))
+            .otherwise(F.array(F.col("_home")))
+        ),
+    ).withColumn("_us", us)
+
+
 def rolling_count(
     df: DataFrame,
     key: str,
@@ -49,20 +69,8 @@ def rolling_count(
     """Rows of the same ``key`` with ``ts`` in ``[t - window_s, t]`` (peers with
     equal ``ts`` included, like a SQL RANGE frame).  ``bucket_s`` must be >=
     ``window_s``."""
-    if bucket_s < window_s:
-        raise ValueError("bucket_s must be >= window_s")
-    w_us, b_us = window_s * 1_000_000, bucket_s * 1_000_000
-    d = with_bucket(df, ts, bucket_s).withColumnRenamed(B, "_home")
-    us = F.unix_micros(F.col(ts))
-    next_start = (F.col("_home") + 1) * F.lit(b_us)
-    d = d.withColumn(
-        B,
-        F.explode(
-            F.when(us >= next_start - F.lit(w_us), F.array(F.col("_home"), F.col("_home") + 1))
-            .otherwise(F.array(F.col("_home")))
-        ),
-    ).withColumn("_us", us)
-    w = Window.partitionBy(key, B).orderBy("_us").rangeBetween(-w_us, 0)
+    d = with_overlap(df, ts, window_s, bucket_s)
+    w = Window.partitionBy(key, B).orderBy("_us").rangeBetween(-window_s * 1_000_000, 0)
     return (
         d.withColumn(out, F.count(F.lit(1)).over(w))
         .filter(F.col(B) == F.col("_home"))
@@ -70,6 +78,28 @@ def rolling_count(
     )
 
 
+def gap_opens(
+    df: DataFrame,
+    key: str,
+    order: Sequence[str],
+    gap_s: int,
+    out: str = "_open",
+    bucket_s: int = DEFAULT_BUCKET_S,
+) -> DataFrame:
+    """``out`` = 1 when the row's gap to the key's previous row is more than
+    ``gap_s`` (or it has none), else 0.  Only the previous ``gap_s`` seconds
+    matter, so one overlap copy replaces a cross-bucket carry."""
+    b_s = max(bucket_s, gap_s)
+    d = with_overlap(df, order[0], gap_s, b_s)
+    w = Window.partitionBy(key, B).orderBy("_us", *order[1:])
+    prev = F.lag("_us").over(w)
+    return (
+        d.withColumn(out, (prev.isNull() | (F.col("_us") - prev > F.lit(gap_s * 1_000_000))).cast("long"))
+        .filter(F.col(B) == F.col("_home"))
+        .drop("_home", "_us")
+    )
+
+
 def previous_row(
     df: DataFrame,
     key: str,

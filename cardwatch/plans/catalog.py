@@ -258,7 +258,7 @@ def q_haversine(spark, sf_dir):
 @register("burst_sessions")
 def q_burst_sessions(spark, sf_dir):
     """W3 with a 2 h gap and >= 4 transactions (test constants)."""
-    s = detect.burst_sessions(silver_of(spark, sf_dir), gap_s=7200, min_count=4)
+    s = detect.burst_sessions(silver_of(spark, sf_dir, materialize=True), gap_s=7200, min_count=4)
     return s.select("card_id", _et("session_start"), _et("session_end"), "n_txn", "total_amount")
 
 
