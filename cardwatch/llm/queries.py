@@ -8,6 +8,20 @@ from pyspark.sql import functions as F
 from cardwatch.llm.common import table
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cardwatch.llm.secrets import find_secrets
+
+    return find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op5_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from cardwatch.llm.lattice import score
+
+    return score(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -22,6 +36,8 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_secrets": op1_secrets,
+    "op5_lattice_lm": op5_lattice_lm,
     "op7_byte_bpe": op7_byte_bpe,
 }
 ORACLE: dict[str, str] = {}
