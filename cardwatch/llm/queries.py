@@ -35,9 +35,18 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cardwatch.llm import langid
+
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs)
+    return langid.classify(docs.select("doc_id", (~langid.learning_expr()).alias("held_out"), "text"), model).drop("text")
+
+
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op5_lattice_lm": op5_lattice_lm,
     "op7_byte_bpe": op7_byte_bpe,
+    "op10_language_id": op10_language_id,
 }
 ORACLE: dict[str, str] = {}
