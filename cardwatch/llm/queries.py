@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cardwatch.llm import oracle
 from cardwatch.llm.common import table
 
 
@@ -14,6 +15,12 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cardwatch.llm.pii import find_pii
+
+    return find_pii(table(spark, sf_dir, "documents"))
+
+
 def op5_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -35,6 +42,12 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cardwatch.llm.quality import judge
+
+    return judge(table(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cardwatch.llm import langid
 
@@ -45,8 +58,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_secrets": op1_secrets,
+    "op4_pii": op4_pii,
     "op5_lattice_lm": op5_lattice_lm,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_quality": op8_quality,
     "op10_language_id": op10_language_id,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op8_quality": oracle.QUALITY,
+}
