@@ -15,6 +15,12 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cardwatch.llm.setjoin import join_components
+
+    return join_components(table(spark, sf_dir, "documents"))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cardwatch.llm.pii import find_pii
 
@@ -58,6 +64,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_secrets": op1_secrets,
+    "op2_ngram_jaccard": op2_ngram_jaccard,
     "op4_pii": op4_pii,
     "op5_lattice_lm": op5_lattice_lm,
     "op7_byte_bpe": op7_byte_bpe,
