@@ -128,11 +128,11 @@ def fences(sketch: DataFrame) -> DataFrame:
             fence = F.when(F.col("texts") >= LEAST_TEXTS, fence)
         out.append(q.groupBy(*keys).pivot("feature", list(LEAST_SPREAD)).agg(F.first(fence)))
     own, lang, every = out
-    join = own.withColumn("corpus", F.lit(0)).alias("o") \
-        .join(lang.alias("l"), F.col("o.lang").eqNullSafe(F.col("l.lang")), "left") \
-        .join(every.alias("e"), F.col("o.corpus") == F.col("e.corpus"), "left")
-    return join.select(F.col("o.lang").alias("lang"), F.col("o.source").alias("source"),
-                       *(F.coalesce(F.col(f"o.{k}"), F.col(f"l.{k}"), F.col(f"e.{k}")).alias(f"max_{k}") for k in LEAST_SPREAD))
+    last = every.first()  # one row of four numbers, or none
+    join = own.alias("o").join(lang.alias("l"), F.col("o.lang").eqNullSafe(F.col("l.lang")), "left")
+    return join.select(F.col("o.lang").alias("lang"), F.col("o.source").alias("source"), *(
+        F.coalesce(F.col(f"o.{k}"), F.col(f"l.{k}"), F.lit(last[k] if last else None).cast("double")).alias(f"max_{k}")
+        for k in LEAST_SPREAD))
 
 
 def judge(docs: DataFrame) -> DataFrame:

@@ -21,6 +21,12 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_components(table(spark, sf_dir, "documents"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cardwatch.llm.decontaminate import find_matches
+
+    return find_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cardwatch.llm.pii import find_pii
 
@@ -65,6 +71,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_ngram_jaccard": op2_ngram_jaccard,
+    "op3_decontamination": op3_decontamination,
     "op4_pii": op4_pii,
     "op5_lattice_lm": op5_lattice_lm,
     "op7_byte_bpe": op7_byte_bpe,
