@@ -60,6 +60,12 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cardwatch.llm.linededup import duplicates
+
+    return duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cardwatch.llm import langid
 
@@ -76,6 +82,7 @@ QUERIES = {
     "op5_lattice_lm": op5_lattice_lm,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_quality": op8_quality,
+    "op9_line_dedup": op9_line_dedup,
     "op10_language_id": op10_language_id,
 }
 ORACLE: dict[str, str] = {
