@@ -41,6 +41,12 @@ def op5_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cardwatch.llm.licences import find_licences
+
+    return find_licences(table(spark, sf_dir, "documents"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -80,6 +86,7 @@ QUERIES = {
     "op3_decontamination": op3_decontamination,
     "op4_pii": op4_pii,
     "op5_lattice_lm": op5_lattice_lm,
+    "op6_licences": op6_licences,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_quality": op8_quality,
     "op9_line_dedup": op9_line_dedup,
