@@ -32,3 +32,12 @@ def input_partitions(spark: SparkSession, least: int = 8) -> int:
 
 def text_or_empty(c: str = "text"):
     return F.coalesce(F.col(c).cast("string"), F.lit(""))
+
+
+#: Rows of a key column (32 MB as a hash table) up to which a side is broadcast.
+BROADCAST_ROWS = 1 << 21
+
+
+def small_or_not(keys: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """The side of a join, to be broadcast only if it has at most ``rows`` rows now; else joined by a shuffle."""
+    return F.broadcast(keys) if keys.count() <= rows else keys

@@ -257,3 +257,20 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, mo
         found = texts.mapInArrow(run, SCHEMA)
         out = found if out is None else out.union(found)
     return out if out is not None else spark.createDataFrame([], SCHEMA)
+
+
+def without_matches(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, most: int = BLOCK_SHINGLES) -> DataFrame:
+    """``docs`` without the rows that match an item; the blocks of items are applied one after another."""
+    spark = docs.sparkSession
+    for ids, items in item_blocks(benchmark, most):
+        shared = spark.sparkContext.broadcast(index(ids, items, radius))
+
+        def run(batches, shared=shared):
+            block = shared.value
+            for b in batches:
+                clean = np.ones(len(b), bool)
+                clean[[g[0] for g in matches_of(b.column("text"), block)]] = False
+                yield b.filter(pa.array(clean))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs
