@@ -91,15 +91,30 @@ def pct(part, whole, digits: int | None = None) -> Column:
     return F.round(v, digits) if digits is not None else v
 
 
-def money_avg(c) -> Column:
-    """Mean of a money column from an exact decimal(18,2) sum (HALF_UP at
-    scale 6), as double; order-independent unlike a double sum."""
-    return F.avg(col_(c).cast("decimal(18,2)")).cast("double")
+#: Below this, amounts are summed as exact decimals; squares of a hundred million rows still fit.
+EXACT_BELOW = 1e7
+
+
+def exact_money(c) -> Column:
+    """The amount as a decimal with 8 places if it is below 10 million, else 0."""
+    small = F.abs(col_(c)) < EXACT_BELOW
+    return F.when(small, col_(c)).when(col_(c).isNotNull(), 0.0).cast("decimal(15,8)")
+
 
+def rest_money(c) -> Column:
+    """The amount if ``exact_money`` does not hold it, else 0.0."""
+    return F.when(F.abs(col_(c)) < EXACT_BELOW, 0.0).otherwise(col_(c))
 
-def epoch_seconds(ts) -> Column:
-    """Timestamp -> fractional epoch seconds (microsecond exact)."""
-    return F.unix_micros(col_(ts)).cast("double") / F.lit(1e6)
+
+def money_sum(c) -> Column:
+    """Sum of a money column: exact, and so independent of order, for ordinary
+    amounts; larger ones are added as doubles and end no job."""
+    return F.sum(exact_money(c)).cast("double") + F.sum(rest_money(c))
+
+
+def money_avg(c) -> Column:
+    """Mean of a money column from ``money_sum``."""
+    return money_sum(c) / F.count(col_(c))
 
 
 def to_ntz(ts) -> Column:

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from cardwatch import schema as S
 from cardwatch.functions.columns import event_time
 
+NOT_FINITE = ("nan_amount", "infinite_amount")
+
+
 def rules() -> list[tuple[str, Column]]:
     """Ordered rule list: the first failing rule names the reject reason."""
     return [
@@ -15,6 +18,7 @@ def rules() -> list[tuple[str, Column]]:
         ("missing_card_id", F.col("card_id").isNull()),
         ("missing_amount", F.col("amount").isNull()),
         ("nan_amount", F.isnan(F.col("amount"))),
+        ("infinite_amount", F.abs(F.col("amount")) == F.lit(float("inf"))),
         ("non_positive_amount", F.col("amount") <= 0),
         ("bad_event_time", F.col("event_time").isNull()),
     ]
@@ -26,25 +30,22 @@ def with_event_time(df: DataFrame, src: str = "timestamp", dst: str = "event_tim
 
 
 def valid_predicate(reject_nan: bool = True) -> Column:
-    """Keep iff id, card, amount and event time are present and amount > 0.
+    """Keep iff no rule of ``rules()`` fails.
 
-    NaN passes ``amount > 0`` in Spark; it is rejected unless ``reject_nan``
-    is False (reference-compatible).
+    NaN and infinity pass ``amount > 0`` in Spark; they are rejected unless
+    ``reject_nan`` is False (reference-compatible).
     """
-    p = (
-        F.col("transaction_id").isNotNull()
-        & F.col("card_id").isNotNull()
-        & F.col("amount").isNotNull()
-        & (F.col("amount") > 0)
-        & F.col("event_time").isNotNull()
-    )
-    return p & ~F.isnan(F.col("amount")) if reject_nan else p
+    ok = F.lit(True)
+    for name, failed in rules():
+        if reject_nan or name not in NOT_FINITE:
+            ok = ok & ~failed
+    return ok
 
 
 def reject_reason(reject_nan: bool = True) -> Column:
     expr = None
     for name, failed in rules():
-        if name == "nan_amount" and not reject_nan:
+        if name in NOT_FINITE and not reject_nan:
             continue
         expr = (F.when if expr is None else expr.when)(failed, F.lit(name))
     return expr.otherwise(F.lit(None).cast("string"))

@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardwatch import schema as S
-from cardwatch.functions.columns import composite_score, has_location, haversine_km
-from cardwatch.operators.sequence import B, DEFAULT_BUCKET_S, gap_opens, previous_row, prefix_sums, rolling_count
+from cardwatch.functions.columns import composite_score, exact_money, has_location, haversine_km, money_sum, rest_money
+from cardwatch.operators.sequence import (
+    DEFAULT_BUCKET_S, bucket_col, gap_opens, previous_row, prefix_sums, rolling_count)
 
 ORDER = ("event_time", "transaction_id")
 
@@ -28,7 +29,7 @@ def velocity(
     (inclusive), and ``<out>_flag`` when the count reaches ``threshold``."""
     b_s = max(bucket_s or DEFAULT_BUCKET_S, window_s)
     r = rolling_count(df, "card_id", "event_time", window_s, out, b_s)
-    return r.withColumn(out + "_flag", F.col(out) >= threshold).drop(B)
+    return r.withColumn(out + "_flag", F.col(out) >= threshold).drop(bucket_col(b_s))
 
 
 def impossible_travel(
@@ -61,7 +62,7 @@ def impossible_travel(
                 F.lit(False),
             ),
         )
-        .drop(B)
+        .drop(bucket_col(bucket_s))
     )
 
 
@@ -86,7 +87,7 @@ def burst_sessions(
         F.min("event_time").alias("session_start"),
         F.max("event_time").alias("session_end"),
         F.count(F.lit(1)).alias("n_txn"),
-        F.sum(F.col("amount").cast("decimal(18,2)")).cast("double").alias("total_amount"),
+        money_sum("amount").alias("total_amount"),
     ]
     if df.isStreaming:
         sw = F.session_window("event_time", f"{gap_s} seconds")
@@ -115,19 +116,20 @@ def amount_spike(
     ``sigmas`` * prior sample stddev (earlier rows only, at least
     ``min_prior`` of them).
 
-    Prior count, sum and sum of squares are exact decimal prefix sums, so
-    they do not depend on summation order or partitioning.
+    Prior count, sum and sum of squares are exact decimal prefix sums (to
+    8 decimals) for amounts below 10 million, so they do not depend on
+    summation order; larger amounts are added as doubles.
     """
-    amt = F.col("amount").cast("decimal(18,2)")
+    amt, big = exact_money("amount"), rest_money("amount")
     p = prefix_sums(
         df, "card_id", ORDER,
-        {"n": F.lit(1).cast("long"), "sum": amt, "sumsq": amt * amt},
+        {"n": F.lit(1).cast("long"), "sum": amt, "sumsq": amt * amt, "big": big, "bigsq": big * big},
         prefix="_p_", bucket_s=bucket_s,
     )
     n = F.col("_p_n")
-    s1 = F.col("_p_sum").cast("double")
+    s1 = F.col("_p_sum").cast("double") + F.col("_p_big")
     mean = F.when(n > 0, s1 / n)
-    var = F.when(n > 1, (F.col("_p_sumsq").cast("double") - s1 * s1 / n) / (n - 1))
+    var = F.when(n > 1, (F.col("_p_sumsq").cast("double") + F.col("_p_bigsq") - s1 * s1 / n) / (n - 1))
     sd = F.sqrt(F.greatest(var, F.lit(0.0)))
     return (
         p.withColumn("prior_n", n)
@@ -142,7 +144,7 @@ def amount_spike(
                 F.lit(False),
             ),
         )
-        .drop("_p_n", "_p_sum", "_p_sumsq", B)
+        .drop("_p_n", "_p_sum", "_p_sumsq", "_p_big", "_p_bigsq", bucket_col(bucket_s))
     )
 
 
@@ -160,10 +162,11 @@ def score_event_time(
     the card's prior mean / stddev (W4 baseline, 0.0 when undefined),
     geo = W2 travel flag (False for rows without location).
     """
-    b_s = max(bucket_s or DEFAULT_BUCKET_S, velocity_window_s)
+    # many windows wide, so that few rows are copied into the next bucket
+    b_s = max(bucket_s or 0, 8 * velocity_window_s)
     v = rolling_count(df, "card_id", "event_time", velocity_window_s, "velocity_60m", b_s)
-    sp = _keep_bucket(amount_spike, v, bucket_s=b_s)
-    tr = _keep_bucket(impossible_travel, sp, min_km=min_km, max_gap_s=max_gap_s, bucket_s=b_s)
+    sp = _keep_bucket(amount_spike, v, b_s)
+    tr = _keep_bucket(impossible_travel, sp, b_s, min_km=min_km, max_gap_s=max_gap_s)
     tr = tr.drop("prev_event_time", "prev_transaction_id", "prev_lat", "prev_lon", "prev_country",
                  "gap_s", "distance_km")
     z = F.when(
@@ -175,11 +178,11 @@ def score_event_time(
         .withColumn("velocity_flag", F.col("velocity_60m") >= velocity_threshold)
         .withColumn("geo_anomaly_flag", F.coalesce(F.col("travel_flag"), F.lit(False)))
         .withColumn("fraud_score", composite_score("velocity_flag", "amount_zscore", "geo_anomaly_flag"))
-        .drop("travel_flag", "spike_flag", B)
+        .drop("travel_flag", "spike_flag", bucket_col(b_s))
     )
 
 
-def _keep_bucket(fn, df: DataFrame, **kw) -> DataFrame:
+def _keep_bucket(fn, df: DataFrame, bucket_s: int, **kw) -> DataFrame:
     """Run a detector but keep the shared bucket column for the next one."""
-    kept = df.withColumn("_b_keep", F.col(B))
-    return fn(kept, **kw).withColumnRenamed("_b_keep", B)
+    kept = df.withColumn("_b_keep", F.col(bucket_col(bucket_s)))
+    return fn(kept, bucket_s=bucket_s, **kw).withColumnRenamed("_b_keep", bucket_col(bucket_s))

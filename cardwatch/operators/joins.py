@@ -1,8 +1,7 @@
 """Join helpers that stay safe when one key holds a large share of the rows.
 
-* ``broadcast_if_small`` broadcasts a dimension only after checking its row
-  count against a bound; beyond the bound the planner (sort-merge join, AQE
-  runtime conversion and skew splitting) takes over.
+* Dimensions are joined as they are: AQE broadcasts a side whose measured size
+  is small, and splits skewed partitions.
 * ``salted_enrich`` joins a fact table to a one-row-per-key table whose
   hottest keys are spread over ``fan_out`` tasks: the fact rows of a hot key
   get a deterministic salt from their own columns (so a re-run after a lost
@@ -18,27 +17,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
-DEFAULT_HOT_ROWS = 1_000_000
+DEFAULT_HOT_ROWS = None
 DEFAULT_HOT_KEYS = 256
 DEFAULT_FAN_OUT = 64
 
 
-def broadcast_if_small(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(dim)`` if it has at most ``max_rows`` rows, else ``dim``.
-
-    The check reads at most ``max_rows + 1`` rows; use it for tables read from
-    storage, where the count is cheap compared to the join.
-    """
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
-
-
 def hot_keys(
     dim: DataFrame,
     key: str,
     weight: str,
-    min_rows: int = DEFAULT_HOT_ROWS,
+    min_rows: int,
     max_keys: int = DEFAULT_HOT_KEYS,
 ) -> DataFrame:
     """At most ``max_keys`` keys whose ``weight`` (row count) is >= ``min_rows``."""
@@ -57,7 +45,7 @@ def salted_enrich(
     weight: str,
     salt_cols: Sequence[str],
     how: str = "left",
-    min_hot_rows: int = DEFAULT_HOT_ROWS,
+    min_hot_rows: int | None = DEFAULT_HOT_ROWS,
     max_hot_keys: int = DEFAULT_HOT_KEYS,
     fan_out: int = DEFAULT_FAN_OUT,
     hot: Sequence | None = None,
@@ -65,12 +53,15 @@ def salted_enrich(
     """``fact.join(dim, key, how)`` with hot keys split over ``fan_out`` tasks.
 
     ``dim`` must have one row per ``key`` and a ``weight`` column that counts
-    the key's fact rows.  The hot keys (at most ``max_hot_keys`` values, taken
-    by one top-k job unless given as ``hot``) enter the plan as a literal
-    set.  The result has ``key`` first, then the fact columns, then the
+    the key's fact rows.  By default AQE's skew join splits large partitions at
+    run time, and no job runs while the plan is made.  Keys given as ``hot``, or
+    found by a top-k job where ``min_hot_rows`` is given (at most
+    ``max_hot_keys``), are salted: they enter the plan as a literal set.  The result has ``key`` first, then the fact columns, then the
     dimension columns (the shape of a USING join).
     """
-    if hot is None:
+    if hot is None and min_hot_rows is None:
+        hot = []
+    elif hot is None:
         hot = [r[0] for r in hot_keys(dim, key, weight, min_hot_rows, max_hot_keys).collect()]
     fact_cols = [c for c in fact.columns if c != key]
     dim_cols = [c for c in dim.columns if c != key]

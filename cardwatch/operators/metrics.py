@@ -35,10 +35,13 @@ def sliding_counts(
 ) -> DataFrame:
     """Rows (``events``) and labelled fraud rows (``fraud_events``) per sliding
     window and group; windows without rows are absent, as with ``window``."""
+    return _slide(_step_counts(df, ts, step_s, by), size_s, step_s, by)
+
+
+def _slide(steps: DataFrame, size_s: int, step_s: int, by: Sequence[str]) -> DataFrame:
     if size_s % step_s:
         raise ValueError("size_s must be a multiple of step_s")
     k = size_s // step_s
-    steps = _step_counts(df, ts, step_s, by)
     expanded = steps.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
     start = F.col("_step") - F.col("_k")
     return (
@@ -53,15 +56,18 @@ def sliding_counts(
 
 
 def events_per_minute(df: DataFrame, size_s: int = 60, step_s: int = 15) -> DataFrame:
-    """T4: events per minute by fraud label over a sliding window (the
-    dashboard's 1 min rate refreshed every scrape), plus an all-labels row
-    (``is_fraud`` NULL) because the reference panel shows only per-label
-    series."""
-    by_label = sliding_counts(df, size_s, step_s, ["is_fraud"])
-    total = sliding_counts(df, size_s, step_s).withColumn("is_fraud", F.lit(None).cast("boolean"))
-    out = by_label.unionByName(total)
+    """T4: events per minute over a sliding window (the dashboard's 1 min rate
+    refreshed every scrape): a ``label`` series per fraud label, of which NULL
+    is one, and a ``total`` series, both from one pass over the rows."""
+    series = F.explode(F.array(
+        F.struct(F.lit("label").alias("series"), F.col("is_fraud").alias("label")),
+        F.struct(F.lit("total").alias("series"), F.lit(None).cast("boolean").alias("label")),
+    )).alias("_s")
+    both = _step_counts(df, "event_time", step_s, ["is_fraud"]).select("_step", "_n", "_f", series).select(
+        "_step", "_n", "_f", "_s.series", F.col("_s.label").alias("is_fraud"))
+    out = _slide(both, size_s, step_s, ["series", "is_fraud"])
     return out.select(
-        "window_start", "window_end", "is_fraud", "events",
+        "window_start", "window_end", "series", "is_fraud", "events",
         (F.col("events") * F.lit(60.0) / F.lit(float(size_s))).alias("events_per_min"),
     )
 
@@ -109,23 +115,40 @@ def _band(value: Column, cuts: Sequence[float], colors: Sequence[str]) -> Column
     return expr.otherwise(F.lit(colors[len(cuts)]))
 
 
-def health_status(df: DataFrame) -> DataFrame:
-    """Dashboard thresholds per refresh instant (window end): events / min
-    (1 min window) and fraud rate % (2 min window)."""
-    rate = sliding_counts(df, 60, 15).select(
-        "window_end", (F.col("events") * F.lit(1.0)).alias("events_per_min")
+def _instants(steps: DataFrame, first: int, last: int, chunk: int = 5760) -> DataFrame:
+    """Every instant (step number) from the first step + ``first`` to the last
+    step + ``last``, made in chunks by as many tasks as there are chunks."""
+    span = steps.agg((F.min("_step") + first).alias("lo"), (F.max("_step") + last).alias("hi")).filter("lo is not null")
+    parts = span.select("hi", F.explode(F.sequence("lo", "hi", F.lit(chunk))).alias("a")).repartition("a")
+    return parts.select(F.explode(F.sequence("a", F.least("hi", F.col("a") + (chunk - 1)))).alias("_at"))
+
+
+def health_status(df: DataFrame, step_s: int = 15, rate_s: int = 60, fraud_s: int = 120) -> DataFrame:
+    """Dashboard thresholds at every refresh instant (window end) between the
+    first and the last event: events / min (1 min window) and fraud rate %
+    (2 min window).  Instants without events count 0 and show red, so an outage
+    is seen; the fraud rate is NULL there."""
+    steps = _step_counts(df, "event_time", step_s, [])
+    k_rate, k_fraud = rate_s // step_s, fraud_s // step_s
+    seen = steps.withColumn("_k", F.explode(F.sequence(F.lit(1), F.lit(max(k_rate, k_fraud))))).select(
+        (F.col("_step") + F.col("_k")).alias("_at"),
+        F.when(F.col("_k") <= k_rate, F.col("_n")).otherwise(0).alias("_r"),
+        F.when(F.col("_k") <= k_fraud, F.col("_n")).otherwise(0).alias("_n"),
+        F.when(F.col("_k") <= k_fraud, F.col("_f")).otherwise(0).alias("_f"),
+    )
+    zero = F.lit(0).cast("long")
+    every = _instants(steps, 1, max(k_rate, k_fraud)).select("_at", zero.alias("_r"), zero.alias("_n"), zero.alias("_f"))
+    j = seen.unionByName(every).groupBy("_at").agg(F.sum("_r").alias("_r"), F.sum("_n").alias("_n"), F.sum("_f").alias("_f"))
+    j = j.select(
+        _ts_of_step(F.col("_at"), step_s).alias("window_end"),
+        (F.col("_r") * F.lit(60.0) / F.lit(float(rate_s))).alias("events_per_min"),
+        F.try_divide(F.col("_f") * F.lit(100.0), F.col("_n").cast("double")).alias("fraud_rate_pct"),
     )
-    fraud = fraud_rate_rolling(df).select("window_end", "fraud_rate_pct")
-    j = rate.join(fraud, "window_end", "full")
-    lo, hi = S.RATE_PER_MIN_BANDS
-    f_lo, f_hi = S.FRAUD_RATE_BANDS
     return j.select(
-        "window_end",
-        F.coalesce(F.col("events_per_min"), F.lit(0.0)).alias("events_per_min"),
-        "fraud_rate_pct",
-        _band(F.coalesce(F.col("events_per_min"), F.lit(0.0)), [lo, hi], ["red", "yellow", "green"]).alias("rate_status"),
+        "window_end", "events_per_min", "fraud_rate_pct",
+        _band(F.col("events_per_min"), list(S.RATE_PER_MIN_BANDS), ["red", "yellow", "green"]).alias("rate_status"),
         F.when(F.col("fraud_rate_pct").isNull(), F.lit(None).cast("string"))
-        .otherwise(_band(F.col("fraud_rate_pct"), [f_lo, f_hi], ["green", "yellow", "red"])).alias("fraud_status"),
+        .otherwise(_band(F.col("fraud_rate_pct"), list(S.FRAUD_RATE_BANDS), ["green", "yellow", "red"])).alias("fraud_status"),
     )
 
 

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardwatch.functions.columns import has_location
-from cardwatch.operators.joins import DEFAULT_FAN_OUT, DEFAULT_HOT_KEYS, DEFAULT_HOT_ROWS, broadcast_if_small, salted_enrich
-from cardwatch.operators.sequence import B, DEFAULT_BUCKET_S, previous_row
+from cardwatch.operators.joins import DEFAULT_FAN_OUT, DEFAULT_HOT_KEYS, DEFAULT_HOT_ROWS, salted_enrich
+from cardwatch.operators.sequence import DEFAULT_BUCKET_S, bucket_col, previous_row
 
 PERCENTILE_ACCURACY = 10_000
 
@@ -58,10 +58,10 @@ def merchant_dim(df: DataFrame) -> DataFrame:
     return cat.join(ctry, "merchant_id", "full")
 
 
-def merchant_enrich(df: DataFrame, merchants: DataFrame, max_broadcast_rows: int = 1_000_000) -> DataFrame:
-    """Left join transactions to the merchant record; the merchant side
-    is broadcast only after its row count is checked."""
-    return df.join(broadcast_if_small(merchants, max_broadcast_rows), "merchant_id", "left")
+def merchant_enrich(df: DataFrame, merchants: DataFrame) -> DataFrame:
+    """Left join transactions to the merchant record; AQE broadcasts the
+    merchant side if its measured size allows."""
+    return df.join(merchants, "merchant_id", "left")
 
 
 def prev_txn(df: DataFrame, bucket_s: int = DEFAULT_BUCKET_S) -> DataFrame:
@@ -69,13 +69,13 @@ def prev_txn(df: DataFrame, bucket_s: int = DEFAULT_BUCKET_S) -> DataFrame:
     country, location), exact over the whole history."""
     return previous_row(
         df, "card_id", ("event_time", "transaction_id"), ["country", "lat", "lon"], bucket_s=bucket_s
-    ).drop(B)
+    ).drop(bucket_col(bucket_s))
 
 
 def foreign_txn(
     df: DataFrame,
     profile: DataFrame,
-    min_hot_rows: int = DEFAULT_HOT_ROWS,
+    min_hot_rows: int | None = DEFAULT_HOT_ROWS,
     max_hot_keys: int = DEFAULT_HOT_KEYS,
     fan_out: int = DEFAULT_FAN_OUT,
 ) -> DataFrame:

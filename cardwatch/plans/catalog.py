@@ -7,6 +7,7 @@ unless the report itself rounds) and return ``timestamp_ntz``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from cardwatch.functions.columns import to_ntz
 from cardwatch.operators import cleanse, explore, score
+from cardwatch.session import scratch_path
 from cardwatch.sources import envelope
 from cardwatch.sources.events_adapter import dirtied, load_transactions, read_events, replayed, transactions_from_events
 
@@ -34,17 +36,27 @@ def bronze_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return envelope.ingest_batch(load_transactions(spark, sf_dir))
 
 
-def silver_of(spark: SparkSession, sf_dir: str, materialize: bool = False) -> DataFrame:
-    """Silver rows.  ``materialize`` writes them once to the shared
-    checkpoint folder (as the silver job's table would be) for plans that
-    read silver in several branches; otherwise each branch would repeat the
-    de-duplication shuffle."""
+#: What scoring reads besides a report's own columns.
+SCORED = ("transaction_id", "card_id", "timestamp", "event_time", "amount", "fraud_type")
+
+
+def silver_of(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Silver rows as a plan.  With ``columns``, as a table of just these
+    columns, written once as Parquet into the shared checkpoint folder (as the
+    silver job's table would be), for plans that read silver in several branches;
+    otherwise each branch would repeat the de-duplication shuffle."""
     s = cleanse.silver(load_transactions(spark, sf_dir))
-    return s.checkpoint() if materialize else s
+    if not columns:
+        return s
+    s = s.select(*columns)
+    path = scratch_path(spark, f"silver-{uuid.uuid4().hex}")
+    s.write.parquet(path)
+    return spark.read.schema(s.schema).parquet(path)
 
 
-def gold_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score.score_batch(silver_of(spark, sf_dir, materialize=True), processed_at=False)
+def gold_of(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
+    silver = silver_of(spark, sf_dir, *dict.fromkeys([*SCORED, *extra]))
+    return score.score_batch(silver, processed_at=False)
 
 
 def dirty_bronze_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,12 +86,12 @@ def q_fraud_score(spark, sf_dir):
 
 @register("alerts")
 def q_alerts(spark, sf_dir):
-    return score.alert_records(gold_of(spark, sf_dir))
+    return score.alert_records(gold_of(spark, sf_dir, "merchant_category", "country"))
 
 
 @register("alerts_payload")
 def q_alerts_payload(spark, sf_dir):
-    return score.alert_payload(gold_of(spark, sf_dir))
+    return score.alert_payload(gold_of(spark, sf_dir, "merchant_category", "country"))
 
 
 @register("card_stats")
@@ -95,7 +107,7 @@ def q_card_zscore(spark, sf_dir):
 @register("card_stats_join")
 def q_card_stats_join(spark, sf_dir):
     """J1 with a low hot-card bound so the salted path runs on test data."""
-    g = score.score_batch(silver_of(spark, sf_dir, materialize=True), processed_at=False,
+    g = score.score_batch(silver_of(spark, sf_dir, *SCORED), processed_at=False,
                           min_hot_rows=50, max_hot_keys=8, fan_out=4)
     return g.select("transaction_id", "card_id", "velocity_60m", r6("amount_zscore"))
 
@@ -158,17 +170,18 @@ def q_top_risk_cards(spark, sf_dir):
 
 @register("zscore_distribution")
 def q_zscore_distribution(spark, sf_dir):
-    return explore.zscore_distribution(gold_of(spark, sf_dir))
+    return explore.zscore_distribution(gold_of(spark, sf_dir, "is_fraud"))
 
 
 @register("fraud_by_country")
 def q_fraud_by_country(spark, sf_dir):
-    return explore.fraud_by_country(gold_of(spark, sf_dir))
+    return explore.fraud_by_country(silver_of(spark, sf_dir))
 
 
 @register("layer_summary")
 def q_layer_summary(spark, sf_dir):
-    return explore.layer_summary(bronze_of(spark, sf_dir), silver_of(spark, sf_dir), gold_of(spark, sf_dir))
+    gold = gold_of(spark, sf_dir)  # a row per silver row, so silver is counted here too
+    return explore.layer_summary(bronze_of(spark, sf_dir), gold, gold)
 
 
 @register("fraud_rate")
@@ -178,17 +191,17 @@ def q_fraud_rate(spark, sf_dir):
 
 @register("alert_confusion")
 def q_alert_confusion(spark, sf_dir):
-    return explore.alert_confusion(gold_of(spark, sf_dir))
+    return explore.alert_confusion(gold_of(spark, sf_dir, "is_fraud"))
 
 
 @register("alert_precision")
 def q_alert_precision(spark, sf_dir):
-    return explore.alert_precision(gold_of(spark, sf_dir))
+    return explore.alert_precision(gold_of(spark, sf_dir, "is_fraud"))
 
 
 @register("top_scores")
 def q_top_scores(spark, sf_dir):
-    return explore.top_scores(gold_of(spark, sf_dir))
+    return explore.top_scores(gold_of(spark, sf_dir, "country"))
 
 
 @register("recent_fraud")
@@ -210,6 +223,10 @@ from cardwatch.functions.columns import has_location  # noqa: E402
 from cardwatch.operators import detect, profile  # noqa: E402
 
 
+#: What the location and sequence detectors read.
+LOCATED = ("transaction_id", "card_id", "event_time", "country", "lat", "lon")
+
+
 def _et(c: str = "event_time"):
     return to_ntz(c).alias(c)
 
@@ -238,34 +255,34 @@ def _travel_view(t):
 @register("impossible_travel")
 def q_impossible_travel(spark, sf_dir):
     """W2 with a 1 h gap bound (test constant), 2000 km."""
-    return _travel_view(detect.impossible_travel(silver_of(spark, sf_dir, materialize=True), max_gap_s=3600))
+    return _travel_view(detect.impossible_travel(silver_of(spark, sf_dir, *LOCATED), max_gap_s=3600))
 
 
 @register("impossible_travel_5m")
 def q_impossible_travel_5m(spark, sf_dir):
     """W2 with the production 5 min / 2000 km rule."""
-    return _travel_view(detect.impossible_travel(silver_of(spark, sf_dir, materialize=True)))
+    return _travel_view(detect.impossible_travel(silver_of(spark, sf_dir, *LOCATED)))
 
 
 @register("haversine")
 def q_haversine(spark, sf_dir):
     """Distance of each located transaction from the card's previous
     located transaction."""
-    t = detect.impossible_travel(silver_of(spark, sf_dir, materialize=True))
+    t = detect.impossible_travel(silver_of(spark, sf_dir, *LOCATED))
     return t.filter(F.col("prev_transaction_id").isNotNull() & has_location("lat", "lon")).select("transaction_id", "prev_transaction_id", F.round("distance_km", 3).alias("distance_km"))
 
 
 @register("burst_sessions")
 def q_burst_sessions(spark, sf_dir):
     """W3 with a 2 h gap and >= 4 transactions (test constants)."""
-    s = detect.burst_sessions(silver_of(spark, sf_dir, materialize=True), gap_s=7200, min_count=4)
+    s = detect.burst_sessions(silver_of(spark, sf_dir, "transaction_id", "card_id", "event_time", "amount"), gap_s=7200, min_count=4)
     return s.select("card_id", _et("session_start"), _et("session_end"), "n_txn", "total_amount")
 
 
 @register("amount_spike")
 def q_amount_spike(spark, sf_dir):
     """W4 with a 200 floor (test constant), mean + 3 sd of >= 2 prior rows."""
-    s = detect.amount_spike(silver_of(spark, sf_dir, materialize=True), min_amount=200.0)
+    s = detect.amount_spike(silver_of(spark, sf_dir, "transaction_id", "card_id", "event_time", "amount"), min_amount=200.0)
     return s.filter("spike_flag").select(
         "transaction_id", "card_id", _et(), "amount", "prior_n",
         F.round("prior_mean", 2).alias("prior_mean"), F.round("prior_std", 2).alias("prior_std"),
@@ -275,7 +292,7 @@ def q_amount_spike(spark, sf_dir):
 @register("fraud_score_event_time")
 def q_fraud_score_event_time(spark, sf_dir):
     """W5 with production constants (60 min velocity, 5 min / 2000 km travel)."""
-    g = detect.score_event_time(silver_of(spark, sf_dir, materialize=True))
+    g = detect.score_event_time(silver_of(spark, sf_dir, *LOCATED, "amount"))
     return g.select(
         "transaction_id", "card_id", _et(), "velocity_60m", r6("amount_zscore"), "velocity_flag",
         "geo_anomaly_flag", r6("fraud_score"), (F.col("fraud_score") >= 0.70).alias("is_alert"),
@@ -284,14 +301,14 @@ def q_fraud_score_event_time(spark, sf_dir):
 
 @register("card_profile")
 def q_card_profile(spark, sf_dir):
-    p = profile.card_profile(silver_of(spark, sf_dir, materialize=True))
+    p = profile.card_profile(silver_of(spark, sf_dir, *LOCATED, "amount"))
     return p.select("card_id", "n_txn", "typical_spend_low", "typical_spend_high", "home_country",
                     _et("first_seen"), _et("last_seen"))
 
 
 @register("merchant_enrich")
 def q_merchant_enrich(spark, sf_dir):
-    s = silver_of(spark, sf_dir, materialize=True)
+    s = silver_of(spark, sf_dir, "transaction_id", "merchant_id", "merchant_category", "country")
     e = profile.merchant_enrich(s, profile.merchant_dim(s))
     return e.select("transaction_id", "merchant_id", "merchant_category", "merchant_home_category",
                     "merchant_home_country")
@@ -299,14 +316,14 @@ def q_merchant_enrich(spark, sf_dir):
 
 @register("prev_txn")
 def q_prev_txn(spark, sf_dir):
-    p = profile.prev_txn(silver_of(spark, sf_dir, materialize=True))
+    p = profile.prev_txn(silver_of(spark, sf_dir, *LOCATED))
     return p.select("transaction_id", "card_id", _et(), "prev_transaction_id", _et("prev_event_time"),
                     "prev_country", "prev_lat", "prev_lon")
 
 
 @register("foreign_txn")
 def q_foreign_txn(spark, sf_dir):
-    s = silver_of(spark, sf_dir, materialize=True)
+    s = silver_of(spark, sf_dir, *LOCATED, "amount", "timestamp")
     f = profile.foreign_txn(s, profile.card_profile(s), min_hot_rows=50, max_hot_keys=8, fan_out=4)
     return f.select("transaction_id", "card_id", "country", "home_country", "is_foreign")
 
@@ -318,7 +335,7 @@ from cardwatch.operators import metrics  # noqa: E402
 
 @register("events_per_minute")
 def q_events_per_minute(spark, sf_dir):
-    return metrics.events_per_minute(silver_of(spark, sf_dir, materialize=True))
+    return metrics.events_per_minute(silver_of(spark, sf_dir))
 
 
 @register("fraud_rate_rolling")
@@ -339,7 +356,7 @@ def q_cumulative_events(spark, sf_dir):
 
 @register("health_status")
 def q_health_status(spark, sf_dir):
-    m = metrics.health_status(silver_of(spark, sf_dir, materialize=True))
+    m = metrics.health_status(silver_of(spark, sf_dir, "event_time", "is_fraud"))
     return m.withColumn("fraud_rate_pct", F.round("fraud_rate_pct", 6))
 
 
@@ -350,31 +367,35 @@ def q_per_second_status(spark, sf_dir):
 
 @register("layer_lag")
 def q_layer_lag(spark, sf_dir):
-    """T9 on a decoded envelope of the events (message time = event time);
-    values depend on the wall clock, so rows-only."""
+    """T9, both stages, on a decoded envelope of the events.  The arrival times
+    are derived from the amount, so that the lags are known."""
     env = envelope.to_envelope(load_transactions(spark, sf_dir))
-    bronze = envelope.decode_envelope(env)
-    return metrics.layer_lag(bronze)
+    cents = F.round(F.col("amount") * 100).cast("long")
+    after = lambda c, ms: F.timestamp_micros(F.unix_micros(c) + cents % ms * 1000)
+    bronze = envelope.decode_envelope(env).withColumn("bronze_ingest_time", after("kafka_ingest_time", 5000))
+    gold = cleanse.with_event_time(bronze).withColumn("gold_processed_at", after("event_time", 30011))
+    return metrics.layer_lag(bronze, gold)
 
 
 # streaming jobs ------------------------------------------------------------------
 
-import uuid  # noqa: E402
-
-from cardwatch.session import scratch_path  # noqa: E402
 from cardwatch.sources.layers import LayerPaths, read_table  # noqa: E402
 from cardwatch.streaming import jobs  # noqa: E402
 
 
-def run_stream_pipeline(spark: SparkSession, sf_dir: str, n_files: int = 4) -> jobs.StreamConfig:
+#: Files that a slice of a replay is written as, and a micro-batch reads.
+FILES_PER_SLICE = 4
+
+
+def run_stream_pipeline(spark: SparkSession, sf_dir: str, n_slices: int = 4) -> jobs.StreamConfig:
     """Replay the events as envelope files through bronze -> silver -> gold
-    with ``availableNow``: bronze and silver take one file per micro-batch
+    with ``availableNow``: bronze and silver take one slice per micro-batch
     (watermark advances between batches), gold drains silver in one batch."""
     base = scratch_path(spark, f"pipeline-{uuid.uuid4().hex[:12]}")
     src = f"{base}/source"
-    jobs.write_envelope_files(load_transactions(spark, sf_dir), src, n_files)
+    jobs.write_envelope_files(load_transactions(spark, sf_dir), src, n_slices, files_per_slice=FILES_PER_SLICE)
     cfg = jobs.StreamConfig(paths=LayerPaths(base), source_format="parquet", source_path=src,
-                            max_files_per_trigger=1, available_now=True)
+                            max_files_per_trigger=FILES_PER_SLICE, available_now=True)
     for q in [jobs.run_bronze(spark, cfg)]:
         q.awaitTermination()
     for q in jobs.run_silver(spark, cfg):
@@ -436,9 +457,9 @@ def q_velocity_stateful(spark, sf_dir):
 
     base = scratch_path(spark, f"stateful-{uuid.uuid4().hex[:12]}")
     src = f"{base}/source"
-    jobs.write_envelope_files(load_transactions(spark, sf_dir), src, 8)
+    jobs.write_envelope_files(load_transactions(spark, sf_dir), src, 8, files_per_slice=FILES_PER_SLICE)
     cfg = jobs.StreamConfig(paths=LayerPaths(base), source_format="parquet", source_path=src,
-                            max_files_per_trigger=1, available_now=True)
+                            max_files_per_trigger=FILES_PER_SLICE, available_now=True)
     silver = cleanse.silver(envelope.decode_envelope(jobs.message_source(spark, cfg)))
     v = velocity_stateful(silver, window_s=86400, watermark=None)
     q = (v.writeStream.format("parquet").outputMode("append")
@@ -447,4 +468,4 @@ def q_velocity_stateful(spark, sf_dir):
     q.awaitTermination()
     out = read_table(spark, f"{base}/velocity")
     return out.select("transaction_id", "card_id", _et(), "velocity",
-                      (F.col("velocity") >= 8).alias("velocity_flag"))
+                      (F.col("velocity") >= 8).alias("velocity_flag"), "travel_flag")

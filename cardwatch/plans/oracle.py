@@ -345,12 +345,12 @@ s AS (
 ),
 g AS (SELECT *, sum(brk) OVER (PARTITION BY card_id ORDER BY event_time ROWS UNBOUNDED PRECEDING) AS sid FROM s)
 SELECT card_id, min(event_time) AS session_start, max(event_time) AS session_end, count(*) AS n_txn,
-  sum(CAST(amount AS DECIMAL(18,2)))::DOUBLE AS total_amount
+  sum(CAST(amount AS DECIMAL(28,8)))::DOUBLE AS total_amount
 FROM g GROUP BY card_id, sid HAVING count(*) >= 4""")
 
 PRIOR = f"""WITH {SILVER},
 p AS (
-  SELECT *, count(*) OVER w AS prior_n, sum(CAST(amount AS DECIMAL(18,2))) OVER w AS prior_sum,
+  SELECT *, count(*) OVER w AS prior_n, sum(CAST(amount AS DECIMAL(28,8))) OVER w AS prior_sum,
     stddev_samp(amount) OVER w AS prior_std
   FROM silver WINDOW w AS (PARTITION BY card_id ORDER BY event_time, transaction_id
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
@@ -450,8 +450,8 @@ def _slide(size_s: int, step_s: int, by_label: bool) -> str:
 
 
 q("events_per_minute", f"""WITH {SILVER},
-u AS (SELECT * FROM {_slide(60, 15, True)} UNION ALL SELECT * FROM {_slide(60, 15, False)})
-SELECT window_start, window_end, is_fraud, events, events * 60.0::DOUBLE / 60.0::DOUBLE AS events_per_min FROM u""")
+u AS (SELECT 'label' AS series, * FROM {_slide(60, 15, True)} UNION ALL SELECT 'total', * FROM {_slide(60, 15, False)})
+SELECT window_start, window_end, series, is_fraud, events, events * 60.0::DOUBLE / 60.0::DOUBLE AS events_per_min FROM u""")
 
 q("fraud_rate_rolling", f"""WITH {SILVER}
 SELECT window_start, window_end, events, fraud_events,
@@ -470,14 +470,21 @@ FROM s""")
 q("health_status", f"""WITH {SILVER},
 r AS (SELECT window_end, events * 1.0::DOUBLE AS events_per_min FROM {_slide(60, 15, False)}),
 f AS (SELECT window_end, fraud_events * 100.0::DOUBLE / events::DOUBLE AS fraud_rate_pct FROM {_slide(120, 15, False)}),
-j AS (SELECT coalesce(r.window_end, f.window_end) AS window_end, coalesce(events_per_min, 0.0::DOUBLE) AS events_per_min,
-  fraud_rate_pct FROM r FULL JOIN f ON r.window_end = f.window_end)
+i AS (SELECT unnest(generate_series(min(window_end), (SELECT max(window_end) FROM f), INTERVAL 15 SECOND)) AS window_end FROM r),
+j AS (SELECT i.window_end, coalesce(events_per_min, 0.0::DOUBLE) AS events_per_min, fraud_rate_pct
+  FROM i LEFT JOIN r ON r.window_end = i.window_end LEFT JOIN f ON f.window_end = i.window_end)
 SELECT window_end, events_per_min, round(fraud_rate_pct, 6) AS fraud_rate_pct,
   CASE WHEN events_per_min < 500 THEN 'red' WHEN events_per_min < 800 THEN 'yellow' ELSE 'green' END AS rate_status,
   CASE WHEN fraud_rate_pct IS NULL THEN NULL WHEN fraud_rate_pct < 3 THEN 'green' WHEN fraud_rate_pct < 10 THEN 'yellow'
     ELSE 'red' END AS fraud_status
 FROM j""")
 
+q("layer_lag", f"""WITH {TX},
+l AS (SELECT 'log_to_bronze' AS stage, round(amount * 100)::BIGINT % 5000 / 1000.0::DOUBLE AS lag FROM tx
+  UNION ALL SELECT 'event_to_gold', round(amount * 100)::BIGINT % 30011 / 1000.0::DOUBLE FROM tx)
+SELECT stage, count(lag) AS n, quantile_disc(lag, 0.5) AS p50_s, quantile_disc(lag, 0.95) AS p95_s,
+  quantile_disc(lag, 0.99) AS p99_s FROM l GROUP BY stage""")
+
 q("per_second_status", f"""WITH {SILVER},
 e AS (SELECT window_end, events / 5.0::DOUBLE AS events_per_sec FROM {_slide(5, 1, False)})
 SELECT window_end, events_per_sec,
@@ -503,4 +510,21 @@ FROM gold""")
 
 q("alerts_stream", ORACLE["alerts_payload"])
 
-q("velocity_stateful", ORACLE["velocity_rolling"])
+q("velocity_stateful", f"""WITH {SILVER},
+v AS (
+  SELECT *, count(*) OVER (PARTITION BY card_id ORDER BY event_time
+    RANGE BETWEEN INTERVAL '86400 seconds' PRECEDING AND CURRENT ROW) AS velocity FROM silver
+),
+tp AS (
+  SELECT transaction_id, event_time, country, lat, lon, lag(event_time) OVER w AS pe, lag(country) OVER w AS pc,
+    lag(lat) OVER w AS plat, lag(lon) OVER w AS plon
+  FROM silver WHERE {LOC} WINDOW w AS (PARTITION BY card_id ORDER BY event_time, transaction_id)
+),
+tr AS (
+  SELECT transaction_id, country <> pc AND epoch_us(event_time) - epoch_us(pe) <= 300000000
+    AND 6371.0::DOUBLE * 2 * asin(sqrt(pow(sin(radians(lat - plat) / 2), 2)
+      + cos(radians(plat)) * cos(radians(lat)) * pow(sin(radians(lon - plon) / 2), 2))) >= 2000 AS travel FROM tp
+)
+SELECT v.transaction_id, card_id, v.event_time, velocity, velocity >= 8 AS velocity_flag,
+  coalesce(travel, false) AS travel_flag
+FROM v LEFT JOIN tr ON v.transaction_id = tr.transaction_id""")

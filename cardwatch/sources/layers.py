@@ -4,9 +4,12 @@ parameter: ``parquet`` works everywhere, ``delta`` when its jar is present."""
 from __future__ import annotations
 
 import os
+import uuid
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -75,30 +78,34 @@ def write_batch(
     path: str,
     fmt: str = "parquet",
     batch_id: int | None = None,
-    app_id: str | None = None,
+    run_id: str = "run",
 ) -> None:
-    """Append a batch so that a retry of the same ``batch_id`` does not
-    duplicate rows.
+    """Append a batch so that a retry of the same (``run_id``, ``batch_id``)
+    does not duplicate rows.  Batch ids restart at 0 with a new checkpoint, so
+    the run id, which lives in the checkpoint, is part of the key.
 
-    parquet: rows carry ``batch_id`` and the table is partitioned by it; the
-    write replaces only that partition (dynamic partition overwrite).
-    delta: ``txnAppId`` / ``txnVersion`` make the append idempotent.
+    parquet: rows carry ``batch_id``, and the table is partitioned by run and
+    batch; the write replaces only that partition (dynamic partition overwrite).
+    delta: ``txnAppId`` (path and run) / ``txnVersion`` make the append idempotent.
     Without ``batch_id`` it is a plain append.
     """
     w = df.write.format(fmt)
     if batch_id is None:
         w.mode("append").save(path)
     elif fmt == "delta":
-        w.mode("append").option("txnAppId", app_id or path).option("txnVersion", batch_id).save(path)
+        w.mode("append").option("txnAppId", f"{path}#{run_id}").option("txnVersion", batch_id).save(path)
     else:
-        (w.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").save(path))
-
-
-def table_history(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
-    """The table's own write history where the format keeps one
-    (``DESCRIBE HISTORY`` on delta); None for plain parquet, whose audit is
-    the per-batch audit table written by the gold job."""
-    if fmt != "delta":
-        return None
-    return spark.sql(f"DESCRIBE HISTORY delta.`{path}`")
+        keyed = df.withColumn("run_id", F.lit(run_id)).write.format(fmt)
+        (keyed.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("run_id", "batch_id").save(path))
+
+
+def run_id_of(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the run that a stream's checkpoint belongs to: made with the
+    checkpoint, and gone with it."""
+    path = os.path.join(checkpoint, "run_id")
+    try:
+        return spark.read.text(path).first()[0]
+    except AnalysisException:  # no such folder yet
+        spark.range(1).select(F.lit(uuid.uuid4().hex).alias("value")).write.mode("overwrite").text(path)
+        return spark.read.text(path).first()[0]

@@ -6,6 +6,7 @@ parameters (S1, S3, S5, S6, S7, S8, S11, S12, T1, T2, T10).
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,8 +16,9 @@ from pyspark.sql.streaming import StreamingQuery
 from cardwatch import schema as S
 from cardwatch.operators import cleanse, score
 from cardwatch.sources.envelope import decode_envelope
-from cardwatch.sources.layers import LayerPaths, read_table_stream, write_batch
+from cardwatch.sources.layers import LayerPaths, read_table_stream, run_id_of, write_batch
 
+log = logging.getLogger(__name__)
 SILVER_COLUMNS = [f.name for f in S.SILVER_SCHEMA.fields]
 
 
@@ -29,7 +31,8 @@ class StreamConfig:
     source_format: str = "kafka"
     source_path: str | None = None            # file sources: folder of envelope rows
     source_options: dict[str, str] = field(default_factory=dict)
-    max_offsets_per_trigger: int = S.MAX_OFFSETS_PER_TRIGGER
+    # scores are relative to a micro-batch, so a limit changes them: none unless asked for
+    max_offsets_per_trigger: int | None = None
     max_files_per_trigger: int | None = None
     triggers: dict[str, str] = field(default_factory=lambda: dict(S.TRIGGERS))
     available_now: bool = False               # notebooks / tests: drain, then stop
@@ -38,6 +41,7 @@ class StreamConfig:
     alert_format: str | None = "json"         # "kafka" writes to a topic, None: no alerts
     alert_options: dict[str, str] = field(default_factory=dict)
     fail_on_alert_error: bool = True
+    run_id: str | None = None                 # part of the key of gold writes; from the checkpoint if None
 
 
 def _trigger(writer, cfg: StreamConfig, layer: str):
@@ -51,8 +55,9 @@ def message_source(spark: SparkSession, cfg: StreamConfig) -> DataFrame:
     file format with the Kafka column shape stands in for it."""
     if cfg.source_format == "kafka":
         r = (spark.readStream.format("kafka")
-             .option("startingOffsets", "earliest")
-             .option("maxOffsetsPerTrigger", cfg.max_offsets_per_trigger))
+             .option("startingOffsets", "earliest"))
+        if cfg.max_offsets_per_trigger:
+            r = r.option("maxOffsetsPerTrigger", cfg.max_offsets_per_trigger)
         for k, v in cfg.source_options.items():
             r = r.option(k, v)
         return r.load()
@@ -93,22 +98,22 @@ def run_silver(spark: SparkSession, cfg: StreamConfig, quarantine: bool = True)
 
 def process_gold_batch(batch: DataFrame, batch_id: int, cfg: StreamConfig) -> None:
     """Score one micro-batch, write gold, then alerts, then the audit
-    row.  Every write is keyed by ``batch_id``, so a retried batch replaces
-    its own output instead of duplicating it.  The batch is read once
-    (persisted) and unpersisted at the end."""
-    batch = batch.persist()
-    scored = None
+    row.  Every write is keyed by run and batch id, so a retried batch replaces
+    its own output instead of duplicating it, and a new checkpoint, whose batch
+    ids start again, replaces nothing.  The scored batch is persisted once."""
+    run = cfg.run_id or run_id_of(batch.sparkSession, cfg.paths.checkpoint("gold"))
+    scored = score.score_batch(batch).withColumn("batch_id", F.lit(batch_id).cast("long")).persist()
     try:
-        if batch.isEmpty():
+        if scored.isEmpty():
             return
-        scored = score.score_batch(batch).withColumn("batch_id", F.lit(batch_id).cast("long")).persist()
-        write_batch(scored, cfg.paths.gold, cfg.table_format, batch_id, app_id="gold")
+        write_batch(scored, cfg.paths.gold, cfg.table_format, batch_id, run)
         if cfg.alert_format:
             try:
-                write_alerts(scored, batch_id, cfg)
+                write_alerts(scored, batch_id, cfg, run)
             except Exception:
                 if cfg.fail_on_alert_error:
                     raise
+                log.exception("alerts of batch %s of run %s were not written", batch_id, run)
         audit = scored.agg(
             F.count(F.lit(1)).alias("rows_in"),
             F.count_if(F.col("fraud_score") >= cfg.alert_threshold).alias("alerts"),
@@ -117,14 +122,12 @@ def process_gold_batch(batch: DataFrame, batch_id: int, cfg: StreamConfig) -> No
             F.round(F.try_divide(F.col("alerts") * F.lit(100.0), F.col("rows_in").cast("double")), 2).alias("alert_pct"),
             F.current_timestamp().alias("processed_at"),
         )
-        write_batch(audit, cfg.paths.audit, cfg.table_format, batch_id, app_id="audit")
+        write_batch(audit, cfg.paths.audit, cfg.table_format, batch_id, run)
     finally:
-        if scored is not None:
-            scored.unpersist()
-        batch.unpersist()
+        scored.unpersist()
 
 
-def write_alerts(scored: DataFrame, batch_id: int, cfg: StreamConfig) -> None:
+def write_alerts(scored: DataFrame, batch_id: int, cfg: StreamConfig, run_id: str) -> None:
     """Alert records written by executors (no collect).  ``kafka``
     publishes ``key``/``value`` to a topic (consumers de-duplicate by key);
     file formats write one partition per batch."""
@@ -136,7 +139,7 @@ def write_alerts(scored: DataFrame, batch_id: int, cfg: StreamConfig) -> None:
         w.save()
         return
     write_batch(payload.withColumn("batch_id", F.lit(batch_id).cast("long")), cfg.paths.alerts,
-                cfg.alert_format, batch_id)
+                cfg.alert_format, batch_id, run_id)
 
 
 def run_gold(spark: SparkSession, cfg: StreamConfig) -> StreamingQuery:
@@ -147,33 +150,18 @@ def run_gold(spark: SparkSession, cfg: StreamConfig) -> StreamingQuery:
     return _trigger(w, cfg, "gold").start()
 
 
-def run_pipeline(spark: SparkSession, cfg: StreamConfig) -> dict[str, list[StreamingQuery]]:
-    """Run the three layers one after the other with ``availableNow`` (the
-    notebook order), waiting for each to drain."""
-    cfg.available_now = True
-    out: dict[str, list[StreamingQuery]] = {}
-    out["bronze"] = [run_bronze(spark, cfg)]
-    for q in out["bronze"]:
-        q.awaitTermination()
-    out["silver"] = run_silver(spark, cfg)
-    for q in out["silver"]:
-        q.awaitTermination()
-    out["gold"] = [run_gold(spark, cfg)]
-    for q in out["gold"]:
-        q.awaitTermination()
-    return out
-
-
-def write_envelope_files(txns: DataFrame, path: str, n_files: int = 4, ts: str = "timestamp") -> None:
+def write_envelope_files(txns: DataFrame, path: str, n_slices: int = 4, ts: str = "timestamp",
+                         files_per_slice: int = 4) -> None:
     """Test/replay helper: write transactions as envelope files in event-time
-    order, one append per time slice, so a file source with
-    ``maxFilesPerTrigger=1`` replays them in order.  Slice bounds are
-    ``n_files - 1`` approximate quantiles of the event time (one small row to
+    order, one append of ``files_per_slice`` files per time slice, so a file
+    source with ``maxFilesPerTrigger=files_per_slice`` replays about a slice per
+    micro-batch.  A slice is read and written by many tasks.  Slice bounds are
+    ``n_slices - 1`` approximate quantiles of the event time (one small row to
     the driver)."""
     from cardwatch.sources.envelope import to_envelope
 
     us = F.unix_micros(F.try_to_timestamp(F.col(ts)))
-    probs = [i / n_files for i in range(1, n_files)]
+    probs = [i / n_slices for i in range(1, n_slices)]
     cuts = txns.agg(F.percentile_approx(us, probs, 100_000).alias("q")).first()["q"] if probs else []
     bounds = [None, *cuts, None]
     for lo, hi in zip(bounds[:-1], bounds[1:]):
@@ -184,4 +172,4 @@ def write_envelope_files(txns: DataFrame, path: str, n_files: int = 4, ts: str =
             cond = cond & (us <= F.lit(hi))
         if lo is None:
             cond = cond | us.isNull()
-        to_envelope(txns.filter(cond)).coalesce(1).write.mode("append").parquet(path)
+        to_envelope(txns.filter(cond)).repartition(files_per_slice).write.mode("append").parquet(path)

@@ -18,15 +18,15 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from cardwatch import schema as S
 
-OUTPUT_SCHEMA = (
-    "transaction_id string, card_id string, event_time timestamp, velocity long, travel_flag boolean"
-)
+OUTPUT_SCHEMA = "transaction_id string, card_id string, us long, velocity long, travel_flag boolean"
 STATE_SCHEMA = (
-    "times array<long>, last_us long, last_lat double, last_lon double, last_country string"
+    "times array<long>, loc_us array<long>, loc_id array<string>, loc_lat array<double>, "
+    "loc_lon array<double>, loc_country array<string>"
 )
 
 
@@ -39,57 +39,50 @@ def _haversine_np(lat1, lon1, lat2, lon2, r=S.EARTH_RADIUS_KM):
 
 def _make_fn(window_s: int, min_km: float, max_gap_s: int):
     w_us, gap_us = window_s * 1_000_000, max_gap_s * 1_000_000
+    keep_us = max(w_us, gap_us)
 
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
         pdf = pd.concat(list(pdfs), ignore_index=True)
-        if state.exists:
-            times, last_us, last_lat, last_lon, last_country = state.get
-            times = np.asarray(times if times is not None else [], dtype=np.int64)
-        else:
-            times, last_us, last_lat, last_lon, last_country = np.empty(0, np.int64), None, None, None, None
-        us = pdf["event_time"].astype("datetime64[us]").astype("int64").to_numpy() if len(pdf) else np.empty(0, np.int64)
-        wm = state.getCurrentWatermarkMs()
-        keep = us >= wm * 1000 if wm and wm > 0 else np.ones(len(us), dtype=bool)
-        pdf, us = pdf[keep].reset_index(drop=True), us[keep]
-        if len(pdf) == 0:
+        wm = max(0, state.getCurrentWatermarkMs() or 0) * 1000
+        pdf = pdf[pdf["us"] >= wm]
+        if not len(pdf):
             return
-        order = np.lexsort((pdf["transaction_id"].to_numpy(), us))
-        pdf, us = pdf.iloc[order].reset_index(drop=True), us[order]
-        all_t = np.sort(np.concatenate([times, us]))
-        velocity = np.searchsorted(all_t, us, "right") - np.searchsorted(all_t, us - w_us, "left")
+        pdf = pdf.sort_values(["us", "transaction_id"], ignore_index=True)
+        us = pdf["us"].to_numpy(np.int64)
+        old = state.get if state.exists else ([], [], [], [], [], [])
+        times = np.sort(np.concatenate([np.asarray(old[0], np.int64), us]))
+        velocity = np.searchsorted(times, us, "right") - np.searchsorted(times, us - w_us, "left")
 
-        lat, lon = pdf["lat"].to_numpy(dtype=float), pdf["lon"].to_numpy(dtype=float)
+        lat, lon = pdf["lat"].to_numpy(float), pdf["lon"].to_numpy(float)
         located = ~(np.isnan(lat) | np.isnan(lon) | ((lat == 0.0) & (lon == 0.0)))
+        seen = pd.DataFrame({"us": old[1], "id": old[2], "lat": old[3], "lon": old[4], "country": old[5], "row": -1})
+        here = pd.DataFrame({"us": us, "id": pdf["transaction_id"], "lat": lat, "lon": lon, "country": pdf["country"],
+                             "row": np.arange(len(pdf))})[located]
+        # the located rows in order; each one's predecessor may have come in an earlier batch or be late itself
+        loc = (pd.concat([seen, here]) if len(seen) else here).sort_values(["us", "id"], ignore_index=True)
         travel = np.zeros(len(pdf), dtype=bool)
-        idx = np.flatnonzero(located)
-        if len(idx):
-            countries = pdf["country"].to_numpy(dtype=object)[idx]
-            # previous located row: the state's last one, then the batch's own
-            p_us = np.concatenate([[last_us if last_us is not None else -1], us[idx][:-1]])
-            p_lat = np.concatenate([[last_lat if last_lat is not None else np.nan], lat[idx][:-1]])
-            p_lon = np.concatenate([[last_lon if last_lon is not None else np.nan], lon[idx][:-1]])
-            p_cty = np.concatenate([np.array([last_country], dtype=object), countries[:-1]])
-            has_prev = p_us >= 0
-            dist = _haversine_np(p_lat, p_lon, lat[idx], lon[idx])
-            diff_cty = np.array([a is not None and b is not None and a != b for a, b in zip(countries, p_cty)])
-            travel[idx] = has_prev & diff_cty & (dist >= min_km) & ((us[idx] - p_us) <= gap_us)
-            j = idx[-1]
-            last_us, last_lat, last_lon = int(us[j]), float(lat[j]), float(lon[j])
-            last_country = pdf["country"].iloc[j]
-
-        newest = int(all_t[-1])
-        kept = all_t[all_t >= newest - w_us]
-        state.update((kept.tolist(), last_us, last_lat, last_lon, last_country))
-        state.setTimeoutTimestamp(newest // 1000 + window_s * 1000 + 1)
+        if len(loc) > 1:
+            prev, cur = loc.iloc[:-1].reset_index(drop=True), loc.iloc[1:].reset_index(drop=True)
+            gap = cur["us"].to_numpy(np.int64) - prev["us"].to_numpy(np.int64)
+            far = _haversine_np(*(x.to_numpy(float) for x in (prev["lat"], prev["lon"], cur["lat"], cur["lon"]))) >= min_km
+            other = (cur["country"] != prev["country"]) & cur["country"].notna() & prev["country"].notna()
+            flag = far & other.to_numpy(bool) & (gap <= gap_us)
+            new = cur["row"].to_numpy(int) >= 0
+            travel[cur["row"].to_numpy(int)[new]] = flag[new]
+
+        # rows as old as the watermark may still come, and look back by the longer of the two rules
+        times = times[times >= wm - keep_us]
+        loc = loc[loc["us"] >= wm - keep_us]
+        country = [None if pd.isna(c) else c for c in loc["country"]]
+        state.update((times.tolist(), loc["us"].astype(int).tolist(), loc["id"].tolist(), loc["lat"].astype(float).tolist(),
+                      loc["lon"].astype(float).tolist(), country))
+        state.setTimeoutTimestamp(int(times[-1] + keep_us) // 1000 + 1)
         yield pd.DataFrame({
-            "transaction_id": pdf["transaction_id"],
-            "card_id": pdf["card_id"],
-            "event_time": pdf["event_time"],
-            "velocity": velocity.astype("int64"),
-            "travel_flag": travel,
+            "transaction_id": pdf["transaction_id"], "card_id": pdf["card_id"], "us": us,
+            "velocity": velocity.astype("int64"), "travel_flag": travel,
         })
 
     return fn
@@ -105,17 +98,22 @@ def velocity_stateful(
     """Stream of (transaction, trailing count, travel flag) per card.
 
     ``silver_stream`` needs ``card_id``, ``transaction_id``, ``event_time``,
-    ``lat``, ``lon`` and ``country``.  Pass ``watermark=None`` when the
+    ``lat``, ``lon`` and ``country``.  A late row (within the watermark) is
+    counted and compared in its place; rows sent out before it are not sent
+    again.  Times cross into Python as microseconds, so the session's time zone
+    has no part in them.  Pass ``watermark=None`` when the
     stream already carries one (e.g. the silver stream).
     The per-row Python work is a vectorised count per card group.
     """
-    src = silver_stream.select("transaction_id", "card_id", "event_time", "lat", "lon", "country")
+    src = silver_stream.select("transaction_id", "card_id", "event_time", "lat", "lon", "country",
+                               F.unix_micros("event_time").alias("us"))
     if silver_stream.isStreaming and watermark:
         src = src.withWatermark("event_time", watermark)
-    return src.groupBy("card_id").applyInPandasWithState(
+    out = src.groupBy("card_id").applyInPandasWithState(
         _make_fn(window_s, min_km, max_gap_s),
         OUTPUT_SCHEMA,
         STATE_SCHEMA,
         "append",
         GroupStateTimeout.EventTimeTimeout,
     )
+    return out.select("transaction_id", "card_id", F.timestamp_micros("us").alias("event_time"), "velocity", "travel_flag")

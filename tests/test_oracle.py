@@ -8,6 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from cardwatch.plans.catalog import REGISTRY
+from cardwatch.plans.oracle import ORACLE
 from conftest import SF_SMALL
 from tools.oracle_check import digest, norm
 
@@ -25,11 +27,11 @@ def con():
 
 
 def test_every_query_has_sql_or_is_documented():
-    missing = set(E.queries()) - set(E.oracle_sql())
-    assert missing <= {"layer_lag"}
+    assert set(REGISTRY) == set(ORACLE)
+    assert set(REGISTRY) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(set(E.oracle_sql()) - STREAMING))
+@pytest.mark.parametrize("name", sorted(set(ORACLE) - STREAMING))
 def test_query_matches_oracle(spark, con, name):
     sp = E.queries()[name](spark, SF_SMALL).toPandas()
     dk = con.execute(E.oracle_sql()[name]).df()

@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cardwatch.operators.joins import salted_enrich
-from cardwatch.operators.sequence import B, previous_row, prefix_sums, rolling_count
+from cardwatch.operators.sequence import bucket_col, previous_row, prefix_sums, rolling_count
 
 
 @pytest.fixture(scope="module")
@@ -26,7 +26,7 @@ def rows(spark):
 
 
 def test_rolling_count_matches_range_window(rows):
-    got = rolling_count(rows, "card_id", "event_time", 600, "n", bucket_s=900).drop(B)
+    got = rolling_count(rows, "card_id", "event_time", 600, "n", bucket_s=900).drop(bucket_col(900))
     w = Window.partitionBy("card_id").orderBy(F.unix_micros("event_time")).rangeBetween(-600_000_000, 0)
     exp = rows.withColumn("n", F.count(F.lit(1)).over(w))
     assert got.select("transaction_id", "n").exceptAll(exp.select("transaction_id", "n")).count() == 0
@@ -35,7 +35,7 @@ def test_rolling_count_matches_range_window(rows):
 
 def test_previous_row_matches_lag(rows):
     order = ("event_time", "transaction_id")
-    got = previous_row(rows, "card_id", order, ["amount"], bucket_s=600).drop(B)
+    got = previous_row(rows, "card_id", order, ["amount"], bucket_s=600).drop(bucket_col(600))
     w = Window.partitionBy("card_id").orderBy(*order)
     exp = rows.withColumn("prev_transaction_id", F.lag("transaction_id").over(w)) \
               .withColumn("prev_amount", F.lag("amount").over(w))
@@ -45,7 +45,7 @@ def test_previous_row_matches_lag(rows):
 
 def test_previous_row_with_condition(rows):
     order = ("event_time", "transaction_id")
-    got = previous_row(rows, "card_id", order, [], bucket_s=600, where=F.col("loc") > 0).drop(B)
+    got = previous_row(rows, "card_id", order, [], bucket_s=600, where=F.col("loc") > 0).drop(bucket_col(600))
     w = Window.partitionBy("card_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     exp = rows.withColumn(
         "prev_transaction_id",
@@ -58,7 +58,7 @@ def test_previous_row_with_condition(rows):
 def test_prefix_sums_match_window(rows):
     order = ("event_time", "transaction_id")
     amt = F.col("amount").cast("decimal(18,2)")
-    got = prefix_sums(rows, "card_id", order, {"n": F.lit(1).cast("long"), "s": amt}, bucket_s=600).drop(B)
+    got = prefix_sums(rows, "card_id", order, {"n": F.lit(1).cast("long"), "s": amt}, bucket_s=600).drop(bucket_col(600))
     w = Window.partitionBy("card_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     exp = rows.withColumn("prior_n", F.coalesce(F.count(F.lit(1)).over(w), F.lit(0))) \
               .withColumn("prior_s", F.coalesce(F.sum(amt).over(w), F.lit(0)))
