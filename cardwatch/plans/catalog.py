@@ -374,7 +374,7 @@ def q_layer_lag(spark, sf_dir):
     after = lambda c, ms: F.timestamp_micros(F.unix_micros(c) + cents % ms * 1000)
     bronze = envelope.decode_envelope(env).withColumn("bronze_ingest_time", after("kafka_ingest_time", 5000))
     gold = cleanse.with_event_time(bronze).withColumn("gold_processed_at", after("event_time", 30011))
-    return metrics.layer_lag(bronze, gold)
+    return metrics.layer_lag(bronze, gold, accuracy=1_000_000)
 
 
 # streaming jobs ------------------------------------------------------------------

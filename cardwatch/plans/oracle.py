@@ -480,8 +480,8 @@ SELECT window_end, events_per_min, round(fraud_rate_pct, 6) AS fraud_rate_pct,
 FROM j""")
 
 q("layer_lag", f"""WITH {TX},
-l AS (SELECT 'log_to_bronze' AS stage, round(amount * 100)::BIGINT % 5000 / 1000.0::DOUBLE AS lag FROM tx
-  UNION ALL SELECT 'event_to_gold', round(amount * 100)::BIGINT % 30011 / 1000.0::DOUBLE FROM tx)
+l AS (SELECT 'log_to_bronze' AS stage, CAST(round(amount * 100, 0) AS BIGINT) % 5000 / 1000.0::DOUBLE AS lag FROM tx
+  UNION ALL SELECT 'event_to_gold', CAST(round(amount * 100, 0) AS BIGINT) % 30011 / 1000.0::DOUBLE FROM tx)
 SELECT stage, count(lag) AS n, quantile_disc(lag, 0.5) AS p50_s, quantile_disc(lag, 0.95) AS p95_s,
   quantile_disc(lag, 0.99) AS p99_s FROM l GROUP BY stage""")
 
