@@ -47,7 +47,7 @@ WITH d AS (
          pow(1.02, min(CASE WHEN r * 100 >= n * 90 THEN i END)) - 1 AS q90 FROM ranked GROUP BY ALL
 ), f AS (
   SELECT lv, lang, source, feature, q90 + 3 * greatest(q90 - q50, CASE feature WHEN 'symbols' THEN 50
-         WHEN 'dup_lines' THEN 100 WHEN 'repeats' THEN 50 ELSE 100 END) AS fence FROM q WHERE lv = 3 OR n >= 100
+         WHEN 'dup_lines' THEN 150 ELSE 100 END) AS fence FROM q WHERE lv = 3 OR n >= 100
 ), x AS (
   SELECT uid, feature, x FROM m UNPIVOT (x FOR feature IN (symbols, dup_lines, repeats, word_len))
 ), odd AS (

@@ -11,7 +11,8 @@ reducers as a few hundred rows.
 Verdict: a text is dropped if a base rule fails, or if a feature is above the
 group's fence ``q90 + 3 * max(q90 - q50, least)``.  ``least`` is the smallest
 spread that counts as one, per feature, so that a group of near-constant texts
-does not drop its ordinary ones.
+does not drop its ordinary ones: a line said twice in a text of three, or a
+sentence said twice in a short one.
 
 Defined results: null text counts as empty (0 words, base_failed); null language
 or source is a group of its own; each row gives one row, also for repeated or
@@ -33,7 +34,7 @@ GROWTH = 1.02
 #: Texts below which a group takes the threshold of the next larger one.
 LEAST_TEXTS = 100
 #: feature (per thousand words, lines or in hundredths of a character): the smallest spread.
-LEAST_SPREAD = {"symbols": 50, "dup_lines": 100, "repeats": 50, "word_len": 100}
+LEAST_SPREAD = {"symbols": 50, "dup_lines": 150, "repeats": 100, "word_len": 100}
 FENCE = 3
 GAP = r"[\x20\x09-\x0D]+"
 
