@@ -61,7 +61,11 @@ def validate(df: DataFrame, reject_nan: bool = True) -> DataFrame:
 def with_reject_reason(df: DataFrame, reject_nan: bool = True) -> DataFrame:
     if "event_time" not in df.columns:
         df = with_event_time(df)
-    return df.withColumn("reject_reason", reject_reason(reject_nan))
+    reason = reject_reason(reject_nan)
+    if "raw_value" in df.columns:  # bronze keeps the message: one that is no JSON is told from one without an id
+        no_json = reason.isNotNull() & F.col("raw_value").isNotNull() & F.try_parse_json("raw_value").isNull()
+        reason = F.when(no_json, F.lit("undecodable_message")).otherwise(reason)
+    return df.withColumn("reject_reason", reason)
 
 
 def rejects(df: DataFrame, reject_nan: bool = True) -> DataFrame:

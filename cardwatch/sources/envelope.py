@@ -63,9 +63,3 @@ def ingest_batch(txns: DataFrame) -> DataFrame:
         F.lit(None).cast("timestamp").alias("kafka_ingest_time"),
         F.lit(None).cast("timestamp").alias("bronze_ingest_time"),
     )
-
-
-def encode_json(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """One JSON document per row, NULL fields kept as null."""
-    cols = cols or df.columns
-    return df.select(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("value"))

@@ -158,3 +158,14 @@ def test_a_cluster_needs_a_shared_folder():
 
     with pytest.raises(ValueError, match="checkpoint.dir"):
         ensure_checkpoint_dir(Session())
+
+
+def test_a_message_that_is_no_json_says_so(spark):
+    from cardwatch import schema as S
+    from cardwatch.sources.envelope import decode_envelope
+
+    env = spark.createDataFrame(
+        [(None, bytearray(v), "t", 0, i, T0, 0) for i, v in enumerate([b"{bad", b"{}", b'{"transaction_id":"a","amount":"x"}'])],
+        S.ENVELOPE_SCHEMA)
+    got = {r.offset: r.reject_reason for r in cleanse.rejects(decode_envelope(env, keep_raw=True)).collect()}
+    assert got == {0: "undecodable_message", 1: "missing_transaction_id", 2: "missing_card_id"}
