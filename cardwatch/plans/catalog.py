@@ -469,3 +469,52 @@ def q_velocity_stateful(spark, sf_dir):
     out = read_table(spark, f"{base}/velocity")
     return out.select("transaction_id", "card_id", _et(), "velocity",
                       (F.col("velocity") >= 8).alias("velocity_flag"), "travel_flag")
+
+
+# stream forms of the event-time operators ------------------------------------------
+
+def _silver_stream(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The silver rows as a stream over a table written for it."""
+    path = scratch_path(spark, f"silver-{uuid.uuid4().hex}")
+    silver = cleanse.silver(load_transactions(spark, sf_dir)).select(*columns)
+    silver.write.parquet(path)
+    return spark.readStream.schema(silver.schema).parquet(path)
+
+
+def _drained(spark: SparkSession, stream: DataFrame, mode: str) -> DataFrame:
+    """The table that a stream's micro-batches leave: the last of ``complete``
+    mode, or all updates with their ``batch_id``."""
+    base = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
+    out = f"{base}/out"
+    spark.createDataFrame([], stream.schema).withColumn("batch_id", F.lit(0).cast("long")).write.parquet(out)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode(
+            "overwrite" if mode == "complete" else "append").parquet(out)
+
+    (stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", f"{base}/checkpoint")
+     .trigger(availableNow=True).start().awaitTermination())
+    return read_table(spark, out)
+
+
+@register("burst_sessions_stream")
+def q_burst_sessions_stream(spark, sf_dir):
+    """W3 on a stream (session windows), test constants of ``burst_sessions``."""
+    s = detect.burst_sessions(_silver_stream(spark, sf_dir, "transaction_id", "card_id", "event_time", "amount"),
+                              gap_s=7200, min_count=4)
+    return _drained(spark, s, "complete").select("card_id", _et("session_start"), _et("session_end"), "n_txn", "total_amount")
+
+
+@register("events_per_minute_stream")
+def q_events_per_minute_stream(spark, sf_dir):
+    """T4 on a stream: the last update of each window and label."""
+    w = metrics.windowed_counts_stream(_silver_stream(spark, sf_dir, "event_time", "is_fraud"))
+    return _drained(spark, w, "update").groupBy("window_start", "window_end", "is_fraud").agg(
+        F.max_by("events", "batch_id").alias("events"))
+
+
+@register("cumulative_events_stream")
+def q_cumulative_events_stream(spark, sf_dir):
+    """T7 on a stream: the running totals per label after the last micro-batch."""
+    t = metrics.cumulative_events_stream(_silver_stream(spark, sf_dir, "is_fraud"))
+    return _drained(spark, t, "complete").select("is_fraud", "cumulative_events")

@@ -528,3 +528,9 @@ tr AS (
 SELECT v.transaction_id, card_id, v.event_time, velocity, velocity >= 8 AS velocity_flag,
   coalesce(travel, false) AS travel_flag
 FROM v LEFT JOIN tr ON v.transaction_id = tr.transaction_id""")
+
+q("burst_sessions_stream", ORACLE["burst_sessions"])
+q("events_per_minute_stream", f"""WITH {SILVER}
+SELECT window_start, window_end, is_fraud, events FROM {_slide(60, 15, True)}""")
+q("cumulative_events_stream", f"""WITH {SILVER}
+SELECT is_fraud, count(*) AS cumulative_events FROM silver GROUP BY is_fraud""")

@@ -14,7 +14,7 @@ from conftest import SF_SMALL
 from tools.oracle_check import digest, norm
 
 STREAMING = {"silver_stream", "gold_stream", "gold_replay_idempotent", "batch_audit", "alerts_stream",
-             "velocity_stateful"}
+             "velocity_stateful", "burst_sessions_stream", "events_per_minute_stream", "cumulative_events_stream"}
 
 
 @pytest.fixture(scope="module")
@@ -40,7 +40,8 @@ def test_query_matches_oracle(spark, con, name):
     assert digest(norm(sp)) == digest(norm(dk))
 
 
-@pytest.mark.parametrize("name", ["gold_stream", "gold_replay_idempotent", "velocity_stateful"])
+@pytest.mark.parametrize("name", ["gold_stream", "gold_replay_idempotent", "velocity_stateful", "burst_sessions_stream",
+                                  "events_per_minute_stream", "cumulative_events_stream"])
 def test_stream_equals_batch(spark, con, name):
     sp = E.queries()[name](spark, SF_SMALL).toPandas()
     dk = con.execute(E.oracle_sql()[name]).df()
