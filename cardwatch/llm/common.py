@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cardwatch.session import ensure_checkpoint_dir
@@ -41,3 +41,19 @@ BROADCAST_ROWS = 1 << 21
 def small_or_not(keys: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """The side of a join, to be broadcast only if it has at most ``rows`` rows now; else joined by a shuffle."""
     return F.broadcast(keys) if keys.count() <= rows else keys
+
+
+def ranked(rows: DataFrame, by: list[str], order: list[str], out: str, name: str = "ranked") -> DataFrame:
+    """``rows`` with their number from 0 among the rows equal in ``by`` (none null), in the order of ``order``.
+
+    The rows are sorted over all tasks and written once; a row's number is its place in its part, less the place where
+    its group begins there, plus the group's rows in earlier parts.  So a group of any size is spread over many tasks;
+    only its counts, one a part, meet.  Equal rows are numbered in any order."""
+    d = rows.repartitionByRange(input_partitions(rows.sparkSession), *by, *order).sortWithinPartitions(*by, *order) \
+        .withColumn("_at", F.monotonically_increasing_id())
+    d = stored(d, name).withColumn("_part", F.shiftright("_at", 33))
+    counts = d.groupBy("_part", *by).agg(F.min("_at").alias("_from"), F.count("*").alias("_n"))
+    earlier = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = stored(counts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n"), f"{name}-counts")
+    both = d.join(small_or_not(counts), ["_part", *by])
+    return both.select(*rows.columns, (F.col("_at") - F.col("_from") + F.col("_before")).alias(out))

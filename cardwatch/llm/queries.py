@@ -80,6 +80,24 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.classify(docs.select("doc_id", (~langid.learning_expr()).alias("held_out"), "text"), model).drop("text")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cardwatch.llm.trie import prefix_nodes
+
+    return prefix_nodes(table(spark, sf_dir, "conversations"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cardwatch.llm.codes import compress
+
+    return compress(table(spark, sf_dir, "embeddings"))
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cardwatch.llm.sharding import shard
+
+    return shard(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -91,7 +109,13 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_line_dedup": op9_line_dedup,
     "op10_language_id": op10_language_id,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_sharding": op13_sharding,
 }
 ORACLE: dict[str, str] = {
     "op8_quality": oracle.QUALITY,
+    "op11_prefix_trie": oracle.TRIE,
+    "op12_vector_codes": oracle.CODES,
+    "op13_sharding": oracle.SHARDING,
 }
