@@ -13,7 +13,7 @@ from llm.conftest import DOC_SCHEMA
 
 def brute(docs, items):
     """The stages after language ID, one by one, on (id, text) rows."""
-    dup = test_linededup.brute(docs)
+    dup = {(d, i) for d, _, i in test_linededup.brute([(d, t, 0) for d, t in docs])}
     cut = []
     for d, t in docs:
         if d is not None and t is not None and any((d, i) in dup for i in range(t.count("\n") + 1)):
@@ -71,3 +71,13 @@ def test_stages_take_nulls_and_empty_tables(spark, tmp_path):
         assert len(got.collect()) == n, name
         if name != "byte_bpe":
             assert got.columns == df.columns
+
+
+def test_near_copies_of_one_id_on_two_texts(spark, docs_of):
+    """A text that no other row holds stays, whatever its id's other row is a copy of."""
+    from cardwatch.llm import stages
+
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    docs = docs_of((1, a, "en", "s", 1), (5, a, "en", "s", 1), (5, b, "en", "s", 1), (9, b, "en", "s", 1), (9, b, "en", "s", 1), (None, a, "en", "s", 1))
+    got = sorted(((r.doc_id, r.text) for r in stages.near_copy_stage(spark, docs, "").collect()), key=str)
+    assert len(got) == 3 and {x for x in got if x[0]} in ({(1, a), (9, b)}, {(1, a), (5, b)}) and (None, a) in got
