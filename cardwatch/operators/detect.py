@@ -12,31 +12,35 @@ from pyspark.sql import functions as F
 
 from cardwatch import schema as S
 from cardwatch.functions.columns import composite_score, exact_money, has_location, haversine_km, money_sum, rest_money
-from cardwatch.operators.sequence import (
-    DEFAULT_BUCKET_S, bucket_col, gap_opens, previous_row, prefix_sums, rolling_count)
+from cardwatch.operators.segments import SegmentedScan
+from cardwatch.operators.sequence import DEFAULT_BUCKET_S, gap_opens, prefix_sums
 
 ORDER = ("event_time", "transaction_id")
 
 
+def card_scan(df: DataFrame, segment_rows: int | None = None) -> SegmentedScan:
+    """The rows of each card in time order, a busy card's in segments."""
+    return SegmentedScan(df, "card_id", ORDER, segment_rows)
+
+
 def velocity(
     df: DataFrame,
     window_s: int = S.BURST_WINDOW_S,
     threshold: int = S.BURST_MIN_COUNT,
     out: str = "velocity",
-    bucket_s: int | None = None,
+    segment_rows: int | None = None,
 ) -> DataFrame:
     """The card's transactions in the trailing ``window_s`` seconds
     (inclusive), and ``<out>_flag`` when the count reaches ``threshold``."""
-    b_s = max(bucket_s or DEFAULT_BUCKET_S, window_s)
-    r = rolling_count(df, "card_id", "event_time", window_s, out, b_s)
-    return r.withColumn(out + "_flag", F.col(out) >= threshold).drop(bucket_col(b_s))
+    r = card_scan(df, segment_rows).count_within(window_s, out).rows()
+    return r.withColumn(out + "_flag", F.col(out) >= threshold)
 
 
 def impossible_travel(
     df: DataFrame,
     min_km: float = S.TRAVEL_MIN_KM,
     max_gap_s: int = S.TRAVEL_MAX_GAP_S,
-    bucket_s: int = DEFAULT_BUCKET_S,
+    segment_rows: int | None = None,
 ) -> DataFrame:
     """Each transaction with the card's previous *located* transaction.
 
@@ -45,24 +49,21 @@ def impossible_travel(
     <= ``max_gap_s`` earlier).  Rows without location (NULL or (0, 0)) are
     skipped on both sides, so an online purchase never hides or forms a pair.
     """
-    loc = has_location("lat", "lon")
-    p = previous_row(df, "card_id", ORDER, ["lat", "lon", "country"], bucket_s=bucket_s, where=loc)
+    return with_travel(_last_located(card_scan(df, segment_rows)).rows(), min_km, max_gap_s)
+
+
+def _last_located(scan: SegmentedScan) -> SegmentedScan:
+    return scan.last_before(["lat", "lon", "country"], where=has_location("lat", "lon"))
+
+
+def with_travel(df: DataFrame, min_km: float, max_gap_s: int) -> DataFrame:
+    """``distance_km``, ``gap_s`` and ``travel_flag`` of rows with the previous located one."""
     gap = (F.unix_micros("event_time") - F.unix_micros("prev_event_time")).cast("double") / F.lit(1e6)
-    dist = haversine_km("prev_lat", "prev_lon", "lat", "lon")
+    far = has_location("lat", "lon") & (F.col("country") != F.col("prev_country")) & (F.col("distance_km") >= min_km)
     return (
-        p.withColumn("gap_s", gap)
-        .withColumn("distance_km", dist)
-        .withColumn(
-            "travel_flag",
-            F.coalesce(
-                loc
-                & (F.col("country") != F.col("prev_country"))
-                & (F.col("distance_km") >= min_km)
-                & (F.col("gap_s") <= max_gap_s),
-                F.lit(False),
-            ),
-        )
-        .drop(bucket_col(bucket_s))
+        df.withColumn("gap_s", gap)
+        .withColumn("distance_km", haversine_km("prev_lat", "prev_lon", "lat", "lon"))
+        .withColumn("travel_flag", F.coalesce(far & (F.col("gap_s") <= max_gap_s), F.lit(False)))
     )
 
 
@@ -110,7 +111,7 @@ def amount_spike(
     min_amount: float = S.SPIKE_MIN_AMOUNT,
     sigmas: float = S.SPIKE_SIGMAS,
     min_prior: int = S.SPIKE_MIN_PRIOR,
-    bucket_s: int = DEFAULT_BUCKET_S,
+    segment_rows: int | None = None,
 ) -> DataFrame:
     """Amount >= ``min_amount`` and above the card's prior mean +
     ``sigmas`` * prior sample stddev (earlier rows only, at least
@@ -120,31 +121,28 @@ def amount_spike(
     8 decimals) for amounts below 10 million, so they do not depend on
     summation order; larger amounts are added as doubles.
     """
+    p = with_prior(_prior_sums(card_scan(df, segment_rows)).rows())
+    high = (F.col("amount") >= min_amount) & (F.col("prior_n") >= min_prior)
+    above = F.col("amount") > F.col("prior_mean") + F.lit(sigmas) * F.col("prior_std")
+    return p.withColumn("spike_flag", F.coalesce(high & above, F.lit(False)))
+
+
+def _prior_sums(scan: SegmentedScan) -> SegmentedScan:
     amt, big = exact_money("amount"), rest_money("amount")
-    p = prefix_sums(
-        df, "card_id", ORDER,
-        {"n": F.lit(1).cast("long"), "sum": amt, "sumsq": amt * amt, "big": big, "bigsq": big * big},
-        prefix="_p_", bucket_s=bucket_s,
-    )
+    return scan.sums_before(
+        {"n": F.lit(1).cast("long"), "sum": amt, "sumsq": amt * amt, "big": big, "bigsq": big * big}, prefix="_p_")
+
+
+def with_prior(df: DataFrame) -> DataFrame:
+    """``prior_n``, ``prior_mean`` and ``prior_std`` from the prior sums."""
     n = F.col("_p_n")
     s1 = F.col("_p_sum").cast("double") + F.col("_p_big")
-    mean = F.when(n > 0, s1 / n)
     var = F.when(n > 1, (F.col("_p_sumsq").cast("double") + F.col("_p_bigsq") - s1 * s1 / n) / (n - 1))
-    sd = F.sqrt(F.greatest(var, F.lit(0.0)))
     return (
-        p.withColumn("prior_n", n)
-        .withColumn("prior_mean", mean)
-        .withColumn("prior_std", sd)
-        .withColumn(
-            "spike_flag",
-            F.coalesce(
-                (F.col("amount") >= min_amount)
-                & (n >= min_prior)
-                & (F.col("amount") > F.col("prior_mean") + F.lit(sigmas) * F.col("prior_std")),
-                F.lit(False),
-            ),
-        )
-        .drop("_p_n", "_p_sum", "_p_sumsq", "_p_big", "_p_bigsq", bucket_col(bucket_s))
+        df.withColumn("prior_n", n)
+        .withColumn("prior_mean", F.when(n > 0, s1 / n))
+        .withColumn("prior_std", F.sqrt(F.greatest(var, F.lit(0.0))))
+        .drop("_p_n", "_p_sum", "_p_sumsq", "_p_big", "_p_bigsq")
     )
 
 
@@ -154,19 +152,17 @@ def score_event_time(
     velocity_threshold: int = S.VELOCITY_THRESHOLD,
     min_km: float = S.TRAVEL_MIN_KM,
     max_gap_s: int = S.TRAVEL_MAX_GAP_S,
-    bucket_s: int | None = None,
+    segment_rows: int | None = None,
 ) -> DataFrame:
     """The composite score from event-time signals, no label leakage.
 
     velocity = trailing ``velocity_window_s`` count (W1), z = amount against
     the card's prior mean / stddev (W4 baseline, 0.0 when undefined),
-    geo = W2 travel flag (False for rows without location).
+    geo = W2 travel flag (False for rows without location).  One scan of the
+    cards in time order gives all three.
     """
-    # many windows wide, so that few rows are copied into the next bucket
-    b_s = max(bucket_s or 0, 8 * velocity_window_s)
-    v = rolling_count(df, "card_id", "event_time", velocity_window_s, "velocity_60m", b_s)
-    sp = _keep_bucket(amount_spike, v, b_s)
-    tr = _keep_bucket(impossible_travel, sp, b_s, min_km=min_km, max_gap_s=max_gap_s)
+    scan = _last_located(_prior_sums(card_scan(df, segment_rows))).count_within(velocity_window_s, "velocity_60m")
+    tr = with_travel(with_prior(scan.rows()), min_km, max_gap_s)
     tr = tr.drop("prev_event_time", "prev_transaction_id", "prev_lat", "prev_lon", "prev_country",
                  "gap_s", "distance_km")
     z = F.when(
@@ -178,11 +174,5 @@ def score_event_time(
         .withColumn("velocity_flag", F.col("velocity_60m") >= velocity_threshold)
         .withColumn("geo_anomaly_flag", F.coalesce(F.col("travel_flag"), F.lit(False)))
         .withColumn("fraud_score", composite_score("velocity_flag", "amount_zscore", "geo_anomaly_flag"))
-        .drop("travel_flag", "spike_flag", bucket_col(b_s))
+        .drop("travel_flag")
     )
-
-
-def _keep_bucket(fn, df: DataFrame, bucket_s: int, **kw) -> DataFrame:
-    """Run a detector but keep the shared bucket column for the next one."""
-    kept = df.withColumn("_b_keep", F.col(bucket_col(bucket_s)))
-    return fn(kept, bucket_s=bucket_s, **kw).withColumnRenamed("_b_keep", bucket_col(bucket_s))

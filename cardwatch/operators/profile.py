@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from cardwatch.functions.columns import has_location
 from cardwatch.operators.joins import DEFAULT_FAN_OUT, DEFAULT_HOT_KEYS, DEFAULT_HOT_ROWS, salted_enrich
-from cardwatch.operators.sequence import DEFAULT_BUCKET_S, bucket_col, previous_row
+from cardwatch.operators.segments import SegmentedScan
 
 PERCENTILE_ACCURACY = 10_000
 
@@ -64,12 +64,11 @@ def merchant_enrich(df: DataFrame, merchants: DataFrame) -> DataFrame:
     return df.join(merchants, "merchant_id", "left")
 
 
-def prev_txn(df: DataFrame, bucket_s: int = DEFAULT_BUCKET_S) -> DataFrame:
+def prev_txn(df: DataFrame, segment_rows: int | None = None) -> DataFrame:
     """Each transaction with the card's previous transaction (time,
     country, location), exact over the whole history."""
-    return previous_row(
-        df, "card_id", ("event_time", "transaction_id"), ["country", "lat", "lon"], bucket_s=bucket_s
-    ).drop(bucket_col(bucket_s))
+    scan = SegmentedScan(df, "card_id", ("event_time", "transaction_id"), segment_rows)
+    return scan.last_before(["country", "lat", "lon"]).rows()
 
 
 def foreign_txn(

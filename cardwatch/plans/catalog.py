@@ -225,6 +225,9 @@ from cardwatch.operators import detect, profile  # noqa: E402
 
 #: What the location and sequence detectors read.
 LOCATED = ("transaction_id", "card_id", "event_time", "country", "lat", "lon")
+TIMED = ("transaction_id", "card_id", "event_time")
+#: Rows of a segment in the queries that cut busy cards also on the test tables.
+FEW_SEGMENT_ROWS = 40
 
 
 def _et(c: str = "event_time"):
@@ -234,14 +237,14 @@ def _et(c: str = "event_time"):
 @register("velocity_rolling")
 def q_velocity_rolling(spark, sf_dir):
     """W1 with a 24 h window, flag at >= 8."""
-    v = detect.velocity(silver_of(spark, sf_dir), window_s=86400, threshold=8, bucket_s=86400 * 2)
+    v = detect.velocity(silver_of(spark, sf_dir, *TIMED), window_s=86400, threshold=8)
     return v.select("transaction_id", "card_id", _et(), "velocity", "velocity_flag")
 
 
 @register("velocity_60s")
 def q_velocity_60s(spark, sf_dir):
     """W1 with the production 60 s burst window."""
-    v = detect.velocity(silver_of(spark, sf_dir))
+    v = detect.velocity(silver_of(spark, sf_dir, *TIMED))
     return v.select("transaction_id", "card_id", _et(), "velocity", "velocity_flag")
 
 
@@ -299,6 +302,16 @@ def q_fraud_score_event_time(spark, sf_dir):
     )
 
 
+@register("fraud_score_segmented")
+def q_fraud_score_segmented(spark, sf_dir):
+    """W5 as ``fraud_score_event_time``, with each card's rows cut into segments of about ``FEW_SEGMENT_ROWS``."""
+    g = detect.score_event_time(silver_of(spark, sf_dir, *LOCATED, "amount"), segment_rows=FEW_SEGMENT_ROWS)
+    return g.select(
+        "transaction_id", "card_id", _et(), "velocity_60m", r6("amount_zscore"), "velocity_flag",
+        "geo_anomaly_flag", r6("fraud_score"), (F.col("fraud_score") >= 0.70).alias("is_alert"),
+    )
+
+
 @register("card_profile")
 def q_card_profile(spark, sf_dir):
     p = profile.card_profile(silver_of(spark, sf_dir, *LOCATED, "amount"))

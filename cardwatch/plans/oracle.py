@@ -416,6 +416,8 @@ sp AS (
 SELECT sp.card_id, n_txn, typical_spend_low, typical_spend_high, home_country, first_seen, last_seen
 FROM sp LEFT JOIN home ON sp.card_id = home.card_id""")
 
+ORACLE["fraud_score_segmented"] = ORACLE["fraud_score_event_time"]
+
 q("merchant_enrich", f"""WITH {SILVER},
 mc AS (SELECT merchant_id, merchant_category AS v, count(*) AS n FROM silver WHERE merchant_category IS NOT NULL GROUP BY ALL),
 mk AS (SELECT merchant_id, country AS v, count(*) AS n FROM silver WHERE country IS NOT NULL GROUP BY ALL),
