@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardwatch import schema as S
+from cardwatch.functions.columns import pct
 from cardwatch.operators.sequence import prefix_sums
 
 
@@ -205,3 +206,64 @@ def cumulative_events_stream(df: DataFrame) -> DataFrame:
     """T7 on a stream: running totals per label (complete or update mode;
     the state is one row per label)."""
     return df.groupBy("is_fraud").agg(F.count(F.lit(1)).alias("cumulative_events"))
+
+
+def health_status_stream(
+    df: DataFrame, step_s: int = 15, rate_s: int = 60, fraud_s: int = 120, watermark: str = S.WATERMARK_DELAY,
+) -> DataFrame:
+    """T5 / T8 on a stream, append mode: ``health_status`` at the instants with an event in the last ``fraud_s`` seconds, sent when
+    the watermark has passed them.  Two windowed aggregations under one watermark: events are counted per step, and the
+    few step rows, not the events, are spread over the sliding windows that hold them."""
+    src = df.withWatermark("event_time", watermark) if df.isStreaming else df
+    steps = src.groupBy(F.window("event_time", f"{step_s} seconds").alias("step")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.coalesce(F.col("is_fraud"), F.lit(False))).alias("f"))
+    slid = steps.select("step", "n", "f", F.window(F.window_time("step"), f"{fraud_s} seconds", f"{step_s} seconds").alias("w"))
+    age = F.unix_micros("w.end") - F.unix_micros("step.end")
+    rows = slid.withColumn("recent", F.when(age < rate_s * 1_000_000, F.col("n")).otherwise(0)).groupBy("w").agg(
+        F.sum("recent").alias("r"), F.sum("n").alias("n"), F.sum("f").alias("f"))
+    m = rows.select(
+        F.col("w.end").cast("timestamp_ntz").alias("window_end"), (F.col("r") * F.lit(60.0) / F.lit(float(rate_s))).alias("events_per_min"),
+        pct("f", "n").alias("fraud_rate_pct"))
+    return m.select("*", *_health_bands())
+
+
+def events_per_second_stream(df: DataFrame, size_s: int = 5, step_s: int = 1, watermark: str = S.WATERMARK_DELAY) -> DataFrame:
+    """T6 on a stream, append mode: ``events_per_second`` of the windows that the watermark has passed, chained like
+    ``health_status_stream``."""
+    src = df.withWatermark("event_time", watermark) if df.isStreaming else df
+    steps = src.groupBy(F.window("event_time", f"{step_s} seconds").alias("step")).agg(F.count(F.lit(1)).alias("n"))
+    w = steps.groupBy(F.window(F.window_time("step"), f"{size_s} seconds", f"{step_s} seconds").alias("w")).agg(F.sum("n").alias("events"))
+    return w.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), F.col("w.end").cast("timestamp_ntz").alias("window_end"),
+                    "events", (F.col("events") / F.lit(float(size_s))).alias("events_per_sec"))
+
+
+def _health_bands() -> list[Column]:
+    rate = _band(F.col("events_per_min"), list(S.RATE_PER_MIN_BANDS), ["red", "yellow", "green"])
+    fraud = _band(F.col("fraud_rate_pct"), list(S.FRAUD_RATE_BANDS), ["green", "yellow", "red"])
+    return [rate.alias("rate_status"), F.when(F.col("fraud_rate_pct").isNotNull(), fraud).alias("fraud_status")]
+
+
+def health_runs(df: DataFrame, step_s: int = 15, rate_s: int = 60, fraud_s: int = 120, day_s: int = 86400) -> DataFrame:
+    """T8 without a grid: ``health_status`` at every refresh instant, where a run of instants without any event in reach is one
+    row: from ``window_end`` to ``last_end``, ``instants`` of them.  The runs come from neighbouring instants with events,
+    so their number follows the events, however far apart the first and the last are."""
+    from cardwatch.operators.sequence import previous_row
+
+    k_rate, k_fraud = rate_s // step_s, fraud_s // step_s
+    most = max(k_rate, k_fraud)
+    steps = _step_counts(df, "event_time", step_s, [])
+    k = F.col("_k")
+    seen = steps.withColumn("_k", F.explode(F.sequence(F.lit(1), F.lit(most)))).groupBy((F.col("_step") + k).alias("_at")).agg(
+        F.sum(F.when(k <= k_rate, F.col("_n")).otherwise(0)).alias("_r"), F.sum(F.when(k <= k_fraud, F.col("_n")).otherwise(0)).alias("_n"),
+        F.sum(F.when(k <= k_fraud, F.col("_f")).otherwise(0)).alias("_f"))
+    at = seen.withColumn("_t", F.timestamp_micros(F.col("_at") * F.lit(step_s * 1_000_000))).withColumn("_one", F.lit(1))
+    at = previous_row(at, "_one", ["_t"], ["_at"], prefix="_prev", bucket_s=day_s)
+    zero = F.lit(0).cast("long")
+    one = at.select(F.col("_at").alias("_from"), F.col("_at").alias("_to"), "_r", "_n", "_f")
+    gaps = at.filter("_at > _prev_at + 1").select((F.col("_prev_at") + 1).alias("_from"), (F.col("_at") - 1).alias("_to"),
+                                                 zero.alias("_r"), zero.alias("_n"), zero.alias("_f"))
+    m = one.unionByName(gaps).select(
+        _ts_of_step(F.col("_from"), step_s).alias("window_end"), _ts_of_step(F.col("_to"), step_s).alias("last_end"),
+        (F.col("_to") - F.col("_from") + 1).alias("instants"), (F.col("_r") * F.lit(60.0) / F.lit(float(rate_s))).alias("events_per_min"),
+        pct("_f", "_n").alias("fraud_rate_pct"))
+    return m.select("*", *_health_bands())

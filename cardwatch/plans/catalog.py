@@ -531,3 +531,78 @@ def q_cumulative_events_stream(spark, sf_dir):
     """T7 on a stream: the running totals per label after the last micro-batch."""
     t = metrics.cumulative_events_stream(_silver_stream(spark, sf_dir, "is_fraud"))
     return _drained(spark, t, "complete").select("is_fraud", "cumulative_events")
+
+
+def _replayed(spark: SparkSession, sf_dir: str, *columns: str, slices: int, within_s: int = 0) -> DataFrame:
+    """The silver rows as a stream that reads a slice of time per micro-batch.  With ``within_s``, rows come up to that many
+    seconds after their time, so that neighbours change places, also across micro-batches."""
+    base = scratch_path(spark, f"replay-{uuid.uuid4().hex}")
+    silver = cleanse.silver(load_transactions(spark, sf_dir)).select(*columns)
+    lag = F.pmod(F.xxhash64("transaction_id"), F.lit(within_s * 1_000_000)) if within_s else F.lit(0)
+    came = silver.withColumn("_came", F.unix_micros("event_time") + lag)
+    cuts = came.agg(F.percentile_approx("_came", [i / slices for i in range(1, slices)], 100_000).alias("q")).first()["q"] or []
+    for lo, hi in zip([None, *cuts], [*cuts, None], strict=True):
+        part = came.filter((F.lit(True) if lo is None else F.col("_came") > lo) & (F.lit(True) if hi is None else F.col("_came") <= hi))
+        part.drop("_came").repartition(FILES_PER_SLICE).write.mode("append").parquet(f"{base}/source")
+    return spark.readStream.schema(silver.schema).option("maxFilesPerTrigger", FILES_PER_SLICE).parquet(f"{base}/source")
+
+
+@register("score_event_time_stream")
+def q_score_event_time_stream(spark, sf_dir):
+    """T3 / W5 on a stream of 6 micro-batches whose rows come up to 8 minutes late, within a watermark of 10: all rows that the
+    watermark has passed, scored as by the batch."""
+    from cardwatch.streaming.ordered import score_event_time_stream
+
+    stream = _replayed(spark, sf_dir, *LOCATED, "amount", slices=6, within_s=480)
+    g = _drained(spark, score_event_time_stream(stream), "append")
+    return g.select(
+        "transaction_id", "card_id", _et(), "velocity_60m", r6("amount_zscore"), "velocity_flag",
+        "geo_anomaly_flag", r6("fraud_score"), (F.col("fraud_score") >= 0.70).alias("is_alert"),
+    )
+
+
+@register("health_status_stream")
+def q_health_status_stream(spark, sf_dir):
+    """T5 / T8 on a stream of 6 micro-batches with rows up to 8 minutes late: what the watermark has passed."""
+    m = metrics.health_status_stream(_replayed(spark, sf_dir, "transaction_id", "event_time", "is_fraud", slices=6, within_s=480))
+    return _drained(spark, m, "append").drop("batch_id").withColumn("fraud_rate_pct", F.round("fraud_rate_pct", 6))
+
+
+@register("events_per_second_stream")
+def q_events_per_second_stream(spark, sf_dir):
+    """T6 on a stream of 6 micro-batches with rows up to 8 minutes late: what the watermark has passed."""
+    m = metrics.events_per_second_stream(_replayed(spark, sf_dir, "transaction_id", "event_time", slices=6, within_s=480))
+    return _drained(spark, m, "append").drop("batch_id")
+
+
+@register("health_runs")
+def q_health_runs(spark, sf_dir):
+    """T8 by runs, on the events and their first hour once more 176 years later: the gap is one row."""
+    s = silver_of(spark, sf_dir, "event_time", "is_fraud")
+    first = s.agg(F.min("event_time").alias("t0"))
+    far = s.join(F.broadcast(first), F.unix_micros("event_time") < F.unix_micros("t0") + 3_600_000_000).select(
+        (F.col("event_time") + F.expr("INTERVAL 176 YEARS")).alias("event_time"), "is_fraud")
+    m = metrics.health_runs(s.unionByName(far))
+    return m.withColumn("fraud_rate_pct", F.round("fraud_rate_pct", 6))
+
+
+#: Rows before this time go through the merchant lookup with the first snapshot, later ones with the second.
+SNAPSHOT_AT = "2024-01-16 00:00:00"
+
+
+@register("merchant_enrich_stream")
+def q_merchant_enrich_stream(spark, sf_dir):
+    """J2 on a stream: the job drains the rows of the first half with merchant records made of them, a new snapshot of all rows is
+    published, and the job goes on from its checkpoint with the second half."""
+    from cardwatch.sources.layers import publish_snapshot
+
+    base = scratch_path(spark, f"lookup-{uuid.uuid4().hex}")
+    silver = silver_of(spark, sf_dir, "transaction_id", "event_time", "merchant_id", "merchant_category", "country")
+    early = F.col("event_time") < F.lit(SNAPSHOT_AT).cast("timestamp")
+    for part, known in ((early, silver.filter(early)), (~early, silver)):
+        publish_snapshot(profile.merchant_dim(known), f"{base}/merchants")
+        silver.filter(part).repartition(FILES_PER_SLICE).write.mode("append").parquet(f"{base}/source")
+        stream = spark.readStream.schema(silver.schema).option("maxFilesPerTrigger", 2).parquet(f"{base}/source")
+        jobs.run_merchant_enrich(spark, stream, f"{base}/merchants", f"{base}/out", f"{base}/checkpoint", available_now=True).awaitTermination()
+    return read_table(spark, f"{base}/out").select(
+        "transaction_id", "merchant_id", "merchant_category", "merchant_home_category", "merchant_home_country")

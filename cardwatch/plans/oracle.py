@@ -536,3 +536,50 @@ q("events_per_minute_stream", f"""WITH {SILVER}
 SELECT window_start, window_end, is_fraud, events FROM {_slide(60, 15, True)}""")
 q("cumulative_events_stream", f"""WITH {SILVER}
 SELECT is_fraud, count(*) AS cumulative_events FROM silver GROUP BY is_fraud""")
+
+q("score_event_time_stream", f"""SELECT * FROM ({ORACLE["fraud_score_event_time"]})
+WHERE epoch_us(event_time) // 60000000 + 1 <= (SELECT (max(epoch_us(ts)) - 600000000) // 60000000 FROM events)""")
+
+#: What a stream with the default watermark has sent of its windows when its input ends.
+_PASSED = "(SELECT max(event_time) - INTERVAL 10 MINUTE FROM silver)"
+
+q("health_status_stream", f"""SELECT h.* FROM ({ORACLE["health_status"]}) h
+WHERE fraud_rate_pct IS NOT NULL AND window_end <= (WITH {SILVER} SELECT max(event_time) - INTERVAL 10 MINUTE FROM silver)""")
+
+q("events_per_second_stream", f"""WITH {SILVER}
+SELECT window_start, window_end, events, events / 5.0::DOUBLE AS events_per_sec FROM {_slide(5, 1, False)}
+WHERE window_end <= {_PASSED}""")
+
+_FAR = [_slide(n, 15, False).replace("FROM silver", "FROM far") for n in (60, 120)]
+q("health_runs", f"""WITH {SILVER},
+far AS (SELECT event_time, is_fraud FROM silver UNION ALL
+  SELECT event_time + INTERVAL 176 YEAR, is_fraud FROM silver
+  WHERE epoch_us(event_time) < (SELECT epoch_us(min(event_time)) FROM silver) + 3600000000),
+r AS (SELECT window_end, events * 1.0::DOUBLE AS events_per_min FROM {_FAR[0]}),
+f AS (SELECT window_end, fraud_events * 100.0::DOUBLE / events::DOUBLE AS fraud_rate_pct FROM {_FAR[1]}),
+o AS (SELECT f.window_end, coalesce(events_per_min, 0.0::DOUBLE) AS events_per_min, fraud_rate_pct,
+  lag(f.window_end) OVER (ORDER BY f.window_end) AS prev FROM f LEFT JOIN r ON r.window_end = f.window_end),
+j AS (SELECT window_end, window_end AS last_end, events_per_min, fraud_rate_pct FROM o UNION ALL
+  SELECT prev + INTERVAL 15 SECOND, window_end - INTERVAL 15 SECOND, 0.0::DOUBLE, NULL FROM o WHERE window_end > prev + INTERVAL 15 SECOND)
+SELECT window_end, last_end, (epoch_us(last_end) - epoch_us(window_end)) // 15000000 + 1 AS instants, events_per_min,
+  round(fraud_rate_pct, 6) AS fraud_rate_pct,
+  CASE WHEN events_per_min < 500 THEN 'red' WHEN events_per_min < 800 THEN 'yellow' ELSE 'green' END AS rate_status,
+  CASE WHEN fraud_rate_pct IS NULL THEN NULL WHEN fraud_rate_pct < 3 THEN 'green' WHEN fraud_rate_pct < 10 THEN 'yellow'
+    ELSE 'red' END AS fraud_status
+FROM j""")
+
+
+def _merchants(src: str, n: str) -> str:
+    return f"""m{n} AS (
+  SELECT a.merchant_id, c, k FROM
+    (SELECT merchant_id, first(v ORDER BY n DESC, v ASC) AS c FROM (SELECT merchant_id, merchant_category AS v, count(*) AS n FROM {src} GROUP BY ALL) GROUP BY 1) a
+    JOIN (SELECT merchant_id, first(v ORDER BY n DESC, v ASC) AS k FROM (SELECT merchant_id, country AS v, count(*) AS n FROM {src} GROUP BY ALL) GROUP BY 1) b
+    ON a.merchant_id = b.merchant_id)"""
+
+
+_EARLY = "event_time < TIMESTAMP '2024-01-16 00:00:00'"
+q("merchant_enrich_stream", f"""WITH {SILVER}, early AS (SELECT * FROM silver WHERE {_EARLY}),
+{_merchants("early", "1")}, {_merchants("silver", "2")}
+SELECT transaction_id, s.merchant_id, merchant_category, CASE WHEN {_EARLY} THEN m1.c ELSE m2.c END AS merchant_home_category,
+  CASE WHEN {_EARLY} THEN m1.k ELSE m2.k END AS merchant_home_country
+FROM silver s LEFT JOIN m1 ON s.merchant_id = m1.merchant_id LEFT JOIN m2 ON s.merchant_id = m2.merchant_id""")

@@ -109,3 +109,28 @@ def run_id_of(spark: SparkSession, checkpoint: str) -> str:
     except AnalysisException:  # no such folder yet
         spark.range(1).select(F.lit(uuid.uuid4().hex).alias("value")).write.mode("overwrite").text(path)
         return spark.read.text(path).first()[0]
+
+
+# dimension snapshots -------------------------------------------------------------
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the complete snapshots under ``path`` (those that Spark's writer has marked as done)."""
+    jvm = spark.sparkContext._jvm
+    mark = jvm.org.apache.hadoop.fs.Path(path, "version=*/_SUCCESS")
+    found = mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(mark) or []
+    return sorted(int(x.getPath().getParent().getName().split("=")[1]) for x in found)
+
+
+def publish_snapshot(df: DataFrame, path: str) -> int:
+    """Write ``df`` as the next whole version of a dimension; readers see it when it is complete."""
+    version = (_versions(df.sparkSession, path) or [-1])[-1] + 1
+    df.write.parquet(f"{path}/version={version}")
+    return version
+
+
+def latest_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    """The newest complete version of a dimension."""
+    versions = _versions(spark, path)
+    if not versions:
+        raise FileNotFoundError(f"no snapshot under {path}")
+    return spark.read.parquet(f"{path}/version={versions[-1]}")

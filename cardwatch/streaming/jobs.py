@@ -173,3 +173,20 @@ def write_envelope_files(txns: DataFrame, path: str, n_slices: int = 4, ts: str
         if lo is None:
             cond = cond | us.isNull()
         to_envelope(txns.filter(cond)).repartition(files_per_slice).write.mode("append").parquet(path)
+
+
+def run_merchant_enrich(spark: SparkSession, silver_stream: DataFrame, dimension_path: str, out_path: str, checkpoint: str,
+                        available_now: bool = False, trigger: str = "30 seconds") -> StreamingQuery:
+    """J2 on a stream: each micro-batch is joined to the merchant records as they are when it runs, the newest complete
+    snapshot under ``dimension_path``.  A file source alone would keep the files that it saw at the start.  Output is
+    keyed by run and batch, so a repeated batch replaces its own rows (with the records of its repetition)."""
+    from cardwatch.operators.profile import merchant_enrich
+    from cardwatch.sources.layers import latest_snapshot
+
+    def enrich(batch: DataFrame, batch_id: int) -> None:
+        s = batch.sparkSession
+        rows = merchant_enrich(batch, latest_snapshot(s, dimension_path)).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        write_batch(rows, out_path, "parquet", batch_id, run_id_of(s, checkpoint))
+
+    w = silver_stream.writeStream.foreachBatch(enrich).option("checkpointLocation", checkpoint)
+    return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)).start()
