@@ -180,8 +180,9 @@ def q_fraud_by_country(spark, sf_dir):
 
 @register("layer_summary")
 def q_layer_summary(spark, sf_dir):
-    gold = gold_of(spark, sf_dir)  # a row per silver row, so silver is counted here too
-    return explore.layer_summary(bronze_of(spark, sf_dir), gold, gold)
+    silver = silver_of(spark, sf_dir, *SCORED)
+    gold = score.score_batch(silver, processed_at=False)
+    return explore.layer_summary(bronze_of(spark, sf_dir), silver, gold)
 
 
 @register("fraud_rate")
@@ -606,3 +607,65 @@ def q_merchant_enrich_stream(spark, sf_dir):
         jobs.run_merchant_enrich(spark, stream, f"{base}/merchants", f"{base}/out", f"{base}/checkpoint", available_now=True).awaitTermination()
     return read_table(spark, f"{base}/out").select(
         "transaction_id", "merchant_id", "merchant_category", "merchant_home_category", "merchant_home_country")
+
+
+#: Ends of the first two slices of ``late_drop``, and until when its late rows are taken.
+LATE_CUTS, LATE_UNTIL = ("2024-01-11 00:00:00", "2024-01-21 00:00:00"), "2024-01-04 00:00:00"
+
+
+@register("late_drop")
+def q_late_drop(spark, sf_dir):
+    """Bronze brings three slices of time, and with the last one a tenth of the first days' rows, long after the
+    watermark.  The silver job drops and counts them, and its audit table says so for each batch."""
+    base = scratch_path(spark, f"late-{uuid.uuid4().hex}")
+    paths = LayerPaths(base)
+    at = lambda x: F.lit(x).cast("timestamp")
+    rows = envelope.decode_envelope(envelope.to_envelope(load_transactions(spark, sf_dir)), keep_raw=True)
+    when = F.try_to_timestamp(F.col("timestamp"))
+    late = (when < at(LATE_UNTIL)) & (F.substring("transaction_id", -1, 1) == "3")
+    first, second = (at(x) for x in LATE_CUTS)
+    for part in ((when < first) & ~late, (when >= first) & (when < second), (when >= second) | late):
+        rows.filter(part).repartition(FILES_PER_SLICE).write.mode("append").parquet(paths.bronze)
+    cfg = jobs.StreamConfig(paths=paths, max_files_per_trigger=FILES_PER_SLICE, available_now=True)
+    query = jobs.run_silver(spark, cfg, quarantine=False)[0]
+    query.awaitTermination()
+    jobs.late_audit(spark, query).write.mode("append").parquet(paths.silver_audit)
+    nothing = F.lit(0).cast("long")
+    audit = read_table(spark, paths.silver_audit).withColumn("kept", nothing)
+    kept = read_table(spark, paths.silver).agg(F.count(F.lit(1)).alias("kept")).select(
+        F.lit(None).cast("long").alias("batch_id"), nothing.alias("rows_in"), nothing.alias("late"), "kept")
+    return audit.unionByName(kept).agg(
+        F.count("batch_id").alias("batches"), F.sum("rows_in").alias("rows_in"), F.sum("late").alias("late"),
+        F.max_by("late", "batch_id").alias("late_in_last"), F.sum("kept").alias("kept"))
+
+
+@register("silver_within_watermark")
+def q_silver_within_watermark(spark, sf_dir):
+    """Every tenth message comes again with its time changed by a second; within the watermark the id alone tells a repeat."""
+    once = load_transactions(spark, sf_dir)
+    later = F.date_format(F.try_to_timestamp(F.col("timestamp")) + F.expr("INTERVAL 1 SECOND"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    again = once.filter(F.substring("transaction_id", -1, 1) == "0").withColumn("timestamp", later)
+    base = scratch_path(spark, f"within-{uuid.uuid4().hex}")
+    jobs.write_envelope_files(once.unionByName(again), f"{base}/source", 4, files_per_slice=FILES_PER_SLICE)
+    cfg = jobs.StreamConfig(paths=LayerPaths(base), source_format="parquet", source_path=f"{base}/source",
+                            max_files_per_trigger=FILES_PER_SLICE, available_now=True)
+    silver = cleanse.silver(envelope.decode_envelope(jobs.message_source(spark, cfg)), within_watermark=True)
+    return _drained(spark, silver.select("transaction_id", "card_id", "amount"), "append").drop("batch_id")
+
+
+@register("card_stats_merged")
+def q_card_stats_merged(spark, sf_dir):
+    """A1 kept up batch by batch: the moments of each micro-batch of a stream are appended to a table of partial rows, and the
+    statistics come from merging these, not from the transactions.  They equal one pass over all rows, bit by bit."""
+    from cardwatch.functions import moments
+
+    stream = _replayed(spark, sf_dir, "transaction_id", "card_id", "event_time", "amount", slices=5)
+    base = scratch_path(spark, f"moments-{uuid.uuid4().hex}")
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        moments.by_key(batch, "card_id", "amount").write.mode("overwrite").parquet(f"{base}/parts/batch_id={batch_id}")
+
+    (stream.writeStream.foreachBatch(keep).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True)
+     .start().awaitTermination())
+    parts = read_table(spark, f"{base}/parts").drop("batch_id")
+    return score.stats_report(score.stats_of(moments.merge(parts, "card_id")))

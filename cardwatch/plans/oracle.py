@@ -583,3 +583,13 @@ q("merchant_enrich_stream", f"""WITH {SILVER}, early AS (SELECT * FROM silver WH
 SELECT transaction_id, s.merchant_id, merchant_category, CASE WHEN {_EARLY} THEN m1.c ELSE m2.c END AS merchant_home_category,
   CASE WHEN {_EARLY} THEN m1.k ELSE m2.k END AS merchant_home_country
 FROM silver s LEFT JOIN m1 ON s.merchant_id = m1.merchant_id LEFT JOIN m2 ON s.merchant_id = m2.merchant_id""")
+
+q("late_drop", f"""WITH {TX}, l AS (
+  SELECT *, event_time < TIMESTAMP '2024-01-04 00:00:00' AND right(transaction_id, 1) = '3' AS late
+  FROM (SELECT transaction_id, timestamp::TIMESTAMP AS event_time FROM tx))
+SELECT 3::BIGINT AS batches, count(*)::BIGINT AS rows_in, count(*) FILTER (WHERE late) AS late,
+  count(*) FILTER (WHERE late) AS late_in_last, count(*) FILTER (WHERE NOT late) AS kept FROM l""")
+
+q("silver_within_watermark", f"""WITH {SILVER} SELECT DISTINCT transaction_id, card_id, amount FROM silver""")
+
+ORACLE["card_stats_merged"] = ORACLE["card_stats"]

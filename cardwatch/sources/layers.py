@@ -44,6 +44,10 @@ class LayerPaths:
     def audit(self) -> str:
         return os.path.join(self.base, "gold", "batch_audit")
 
+    @property
+    def silver_audit(self) -> str:
+        return os.path.join(self.base, "silver", "batch_audit")
+
     def checkpoint(self, layer: str) -> str:
         return os.path.join(self.base, "checkpoints", layer)
 

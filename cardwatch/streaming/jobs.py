@@ -190,3 +190,16 @@ def run_merchant_enrich(spark: SparkSession, silver_stream: DataFrame, dimension
 
     w = silver_stream.writeStream.foreachBatch(enrich).option("checkpointLocation", checkpoint)
     return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)).start()
+
+
+def late_audit(spark: SparkSession, query: StreamingQuery) -> DataFrame:
+    """(batch_id, rows_in, late) of the batches that brought rows: how many each read, and how many came after the
+    watermark had passed them and were dropped.  From the query's progress, which keeps the last
+    ``spark.sql.streaming.numRecentProgressUpdates`` batches; a long-running job appends it to ``paths.silver_audit`` as it goes."""
+    seen = {}
+    for p in query.recentProgress:
+        late = sum(op.get("numRowsDroppedByWatermark", 0) for op in p.get("stateOperators", []))
+        rows, before = seen.get(p["batchId"], (0, 0))
+        seen[p["batchId"]] = (rows + p["numInputRows"], before + late)
+    rows = [(b, n, late) for b, (n, late) in sorted(seen.items()) if n]
+    return spark.createDataFrame(rows, "batch_id long, rows_in long, late long")
