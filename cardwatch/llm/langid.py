@@ -4,8 +4,8 @@ Kernel: two texts share k(x, z) = |G(x) & G(z)| / sqrt(|G(x)| |G(z)|), where G i
 the set of byte n-grams of lengths 1 to 3 (blended spectrum, presence) of the
 lower-cased text, blanks alike.  Nystroem landmarks (some texts per language)
 give features K_mm^-1/2 k(x, landmarks), on which one-versus-rest kernel ridge
-regression is solved.  A batch is scored as one product: the texts' sparse
-presence matrix times (n-gram x landmark) x (landmark x language).
+regression is solved.  A text is scored by summing the rows that its n-grams
+have in the product (n-gram x landmark) x (landmark x language).
 
 Bounds: the fit uses at most ``PER_LANG`` labelled texts of each language,
 ``LANDMARKS`` of them as landmarks, chosen by a hash of the id.  All texts are

@@ -25,7 +25,7 @@ Nothing is dropped for size: both list kinds are exact.  The hot order table is
 top-k of fixed size, and a filter of fixed size picks the sets to verify.
 
 Defined results: null text and text without words has n_shingles 0 and is its own
-component; rows with one doc_id or equal texts share a component; a null doc_id
+component; rows with equal texts share a component, rows of one doc_id with different texts need not; a null doc_id
 never names a component while another row of it has an id.
 """
 
