@@ -48,6 +48,23 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+class Stretches:
+    """Hashes of stretches of a sequence of 64-bit items, each from two prefix sums, however long it is."""
+
+    def __init__(self, items: np.ndarray):
+        self.power, self.inverse = _powers(len(items))
+        self.total = np.zeros(len(items) + 1, np.uint64)
+        np.cumsum(items * self.power[:len(items)], out=self.total[1:])
+
+    def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mix((self.total[end] - self.total[start]) * self.inverse[start] + (end - start).astype(np.uint64))
+
+
+def byte_items(data: np.ndarray) -> np.ndarray:
+    """A 64-bit item for each byte."""
+    return _TABLE[data]
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of a string column; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -93,10 +110,7 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """64-bit hash of each word."""
-        power, inverse = _powers(len(self.data))
-        total = np.zeros(len(self.data) + 1, np.uint64)
-        np.cumsum(_TABLE[self.data] * power[:len(self.data)], out=total[1:])
-        return mix((total[self.end] - total[self.start]) * inverse[self.start] + (self.end - self.start).astype(np.uint64))
+        return Stretches(byte_items(self.data)).hashes(self.start, self.end)
 
     def text(self, which: np.ndarray) -> pa.Array:
         """The chosen words as strings."""
