@@ -4,8 +4,9 @@ Kernel: two texts share k(x, z) = |G(x) & G(z)| / sqrt(|G(x)| |G(z)|), where G i
 the set of byte n-grams of lengths 1 to 3 (blended spectrum, presence) of the
 lower-cased text, blanks alike.  Nystroem landmarks (some texts per language)
 give features K_mm^-1/2 k(x, landmarks), on which one-versus-rest kernel ridge
-regression is solved.  A text is scored by summing the rows that its n-grams
-have in the product (n-gram x landmark) x (landmark x language).
+regression is solved.  Texts are scored by batched matrix products: the presence
+matrix (text x n-gram) of a block of texts times the weights (n-gram x language),
+which are the landmark matrix times the solved coefficients.
 
 Bounds: the fit uses at most ``PER_LANG`` labelled texts of each language,
 ``LANDMARKS`` of them as landmarks, chosen by a hash of the id.  All texts are
@@ -33,6 +34,8 @@ from cardwatch.llm.words import LOWER, SPACE, utf8
 
 PER_LANG = 1000
 LANDMARKS = 48
+#: Cells of the presence matrix of one block of texts (16 MB of doubles).
+BLOCK_CELLS = 1 << 21
 RIDGE = 1e-3
 SHARPNESS = 4.0
 UNKNOWN = "und"
@@ -71,6 +74,32 @@ class Model:
         return at
 
 
+class Scorer:
+    """Kernel scores of many texts: rows of a presence matrix, multiplied block by block."""
+
+    def __init__(self, m: Model, cells: int = BLOCK_CELLS):
+        self.m, self.table = m, m.table()
+        self.present = np.zeros((max(1, cells // max(1, len(m.codes))), len(m.codes)))
+
+    def scores(self, texts: list[np.ndarray]) -> np.ndarray:
+        """(text, language) of the texts' bytes."""
+        out = np.zeros((len(texts), len(self.m.langs)))
+        for start in range(0, len(texts), len(self.present)):
+            block = texts[start:start + len(self.present)]
+            sizes, columns = np.empty(len(block)), []
+            for r, t in enumerate(block):
+                own = grams(t)
+                sizes[r] = max(1, len(own))
+                at = self.table[own]
+                columns.append(at[at > 0] - 1)
+                self.present[r, columns[-1]] = 1.0
+            out[start:start + len(block)] = \
+                self.present[:len(block)] @ self.m.weights / np.sqrt(sizes)[:, None] + self.m.bias
+            for r, c in enumerate(columns):
+                self.present[r, c] = 0.0
+        return out
+
+
 def learning_expr():
     return (F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 4) != 2
 
@@ -78,14 +107,18 @@ def learning_expr():
 def sample(docs: DataFrame, per_lang: int = PER_LANG) -> DataFrame:
     """(text, lang, rank): at most ``per_lang`` labelled learning rows of each language.
 
-    The rank filter is applied in each task before the shuffle, so a language
-    with most of the rows does not reach one task."""
+    Picked in two steps: a count of each language gives a bound on the id's hash that about
+    ``2 * per_lang`` of its rows meet, then those are ranked, so that a task ranks no more of a
+    language than that.  A language with up to ``4 * per_lang`` rows is ranked whole."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        F.col("lang").cast("string").alias("lang"))
     rows = rows.filter(learning_expr() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = rows.select("doc_id", "lang").withColumn("rank", F.row_number().over(order)) \
-        .filter(F.col("rank") <= per_lang).dropDuplicates(["doc_id", "lang"])
+    many = rows.groupBy("lang").agg(F.count("*").alias("many"))
+    low = (F.shiftrightunsigned(F.xxhash64("doc_id"), 11) / F.lit(float(1 << 53))) * F.col("many") < 2.0 * per_lang
+    few = rows.select("doc_id", "lang").join(many, "lang").filter((F.col("many") <= 4 * per_lang) | low) \
+        .select("doc_id", "lang").distinct()
+    order = Window.partitionBy("lang").orderBy(F.shiftrightunsigned(F.xxhash64("doc_id"), 11), "doc_id")
+    chosen = few.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= per_lang)
     return rows.join(F.broadcast(chosen), ["doc_id", "lang"]).dropDuplicates(["doc_id", "lang"])
 
 
@@ -145,23 +178,21 @@ def classify(docs: DataFrame, model: Model, text: str = "text", pred: str = "lan
     names = [f.name for f in kept]
 
     def run(batches):
-        m = shared.value
-        table = m.table()
-        weights = np.vstack([np.zeros((1, len(m.langs))), m.weights]) if m.langs else None
+        scorer = Scorer(shared.value)
+        langs = scorer.m.langs
         for b in batches:
             column = b.column(text)
             data, off = utf8(column)
             has = pc.match_substring_regex(column.fill_null(""), "[A-Za-z]").to_numpy(zero_copy_only=False)
+            told = [i for i in range(len(b)) if langs and (has[i] or _LETTER.search(column[i].as_py() or ""))]
             best, top = [UNKNOWN] * len(b), np.zeros(len(b))
-            for i in range(len(b)):
-                if not m.langs or not (has[i] or _LETTER.search(column[i].as_py() or "")):
-                    continue
-                own = grams(data[off[i]:off[i + 1]])
-                at = table[own]
-                f = weights[at[at > 0]].sum(axis=0) / np.sqrt(max(1, len(own))) + m.bias
-                p = np.exp(SHARPNESS * (f - f.max()))
-                j = int(p.argmax())
-                best[i], top[i] = m.langs[j], p[j] / p.sum()
+            if told:
+                f = scorer.scores([data[off[i]:off[i + 1]] for i in told])
+                p = np.exp(SHARPNESS * (f - f.max(axis=1, keepdims=True)))
+                j = p.argmax(axis=1)
+                top[told] = p[np.arange(len(told)), j] / p.sum(axis=1)
+                for i, k in zip(told, j, strict=True):
+                    best[i] = langs[k]
             yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), pa.array(best, pa.string()), pa.array(top)],
                                              [*names, pred, score])
 

@@ -10,9 +10,12 @@ from cardwatch.llm.common import table
 
 
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
     from cardwatch.llm.secrets import find_secrets
 
-    return find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                        rank_file=public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,10 +2,21 @@
 
 A value in a credential context ("password is ...", "pwd: ...", ``auth=...``)
 is cut by dynamic programming into the segments that an attacker guesses in
-the fewest tries: listed words, dates, repeats, keyboard walks, and brute force
-for what is left.  A value that costs ``min_log10`` or more is a secret; it is
+the fewest tries: ranked words, dates, repeats, keyboard walks, and brute force
+for what is left.  Every stretch that is a word, date, repeat or walk is a
+candidate, also inside a longer one, and the minimum is exact; the work is
+linear in the value's length.  Words are ranked by the vocabulary of a public
+tokenizer (a local rank file given as a parameter: letters after a blank, in
+merge order), behind a short list of words that people choose; its size bounds
+the broadcast.  A value that costs ``min_log10`` or more is a secret; it is
 reported as a ``guess`` span unless a base span already covers it.
 
+Costs (log10 of guesses; each segment but single brute-force characters pays for
+being one of two kinds): a word its rank, capitals and character swaps 0.3 each;
+a repeat its block by brute force and one of the counts that fit the value; a
+walk one of the key pairs and one of the lengths that fit; a date one of 200
+years' days, a year one of 200.
+
 Defined results: null or empty text has no spans; rows are scanned one by one,
 so repeated ids give repeated rows; values are scored whole, whatever their
 length; other columns take no part.
@@ -13,6 +24,7 @@ length; other columns take no part.
 
 from __future__ import annotations
 
+import base64
 import bisect
 import hashlib
 import math
@@ -44,15 +56,15 @@ dragon monkey football baseball iloveyou princess sunshine shadow superman batma
 summer winter spring autumn monday friday january march june july august october december love money house
 server database token access example sample demo dummy temp none null true false undefined your my here
 xxxx pass key the and word""".split()
-_RANK = {w: math.log10(i + 1) for i, w in reversed(list(enumerate(COMMON_WORDS, 1)))}
-_LONGEST = max(map(len, COMMON_WORDS))
 #: Rows of a keyboard and common orders.
 WALKS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm", "abcdefghijklmnopqrstuvwxyz", "0987654321")
 _NEXT = {(a, b) for row in WALKS for a, b in [*zip(row, row[1:]), *zip(row[::-1], row[::-1][1:])]}
 _LEET = str.maketrans("@4310$57", "aaeiosst")
-_DATE = re.compile(
-    r"(?:19|20)\d\d(?:([-/.]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01]))?"
-    r"|(?:0[1-9]|[12]\d|3[01])([-/.]?)(?:0[1-9]|1[0-2])\2(?:19|20)\d\d")
+_DAY, _MONTH, _YEARS = r"(?:0[1-9]|[12]\d|3[01])", r"(?:0[1-9]|1[0-2])", r"(?:19|20)\d\d"
+# Each looks ahead, so that stretches which overlap are all found; a group for each order.
+_DATE = re.compile(rf"(?=((?:{_YEARS})(?:{_MONTH}{_DAY}|-{_MONTH}-{_DAY}|/{_MONTH}/{_DAY}|\.{_MONTH}\.{_DAY}))?"
+                   rf"({_DAY}(?:{_MONTH}|-{_MONTH}-|/{_MONTH}/|\.{_MONTH}\.){_YEARS})?)", re.A)
+_YEAR = re.compile(rf"(?=({_YEARS}))", re.A)
 _DATE_COST = math.log10(366 * 200)
 _YEAR_COST = math.log10(200)
 _SEGMENT = math.log10(2)
@@ -68,45 +80,66 @@ def _alphabet(s: str) -> float:
     return math.log10(max(2, n + 33 * other))
 
 
-def segments(s: str):
-    """(start, end, cost, kind) of the segments that guessing may use, besides single brute-force characters."""
-    low, plain = s.lower(), s.lower().translate(_LEET)
+#: Shortest word that is ranked, longest block of a repeat, and shortest walk.
+MIN_WORD, MAX_BLOCK, MIN_WALK = 3, 4, 3
+
+
+class Words:
+    """log10 ranks of words, from the words that people choose and then the given ones, best first."""
+
+    def __init__(self, more=()):
+        self.rank: dict[str, float] = {}
+        for w in [*COMMON_WORDS, *more]:
+            self.rank.setdefault(w, math.log10(len(self.rank) + 2))
+        self.longest = max(map(len, self.rank))
+
+
+def vocabulary(rank_file: str) -> list[str]:
+    """Lower-case words of a tokenizer's rank file: tokens of a blank and letters, in the order of their ranks."""
+    with open(rank_file, "rb") as f:
+        ranked = sorted((int(n), base64.b64decode(token)) for token, n in (line.split() for line in f if line.strip()))
+    words = (token[1:].decode("utf-8", "replace") for _, token in ranked if token[:1] == b" ")
+    return list(dict.fromkeys(w.lower() for w in words if len(w) >= MIN_WORD and w.isalpha()))
+
+
+COMMON = Words()
+
+
+def guess_cost(s: str, words: Words = COMMON) -> float:
+    """log10 of the guesses of the cheapest segmentation of the whole value."""
     n, brute = len(s), _alphabet(s)
-    for i in range(n):
-        for j in range(i + 3, min(n, i + _LONGEST) + 1):
+    low = "".join(c.lower() if len(c.lower()) == 1 else c for c in s)
+    plain = low.translate(_LEET)
+    dates: dict[int, list[tuple[int, float]]] = {}
+    for pattern, cost in ((_DATE, _DATE_COST), (_YEAR, _YEAR_COST)):
+        for m in pattern.finditer(s):
+            for group in filter(None, m.groups()):
+                dates.setdefault(m.start() + len(group), []).append((m.start(), cost))
+    walk_cost = math.log10(len(_NEXT)) + math.log10(max(1, n)) + _SEGMENT
+    best = [0.0] + [math.inf] * n
+    walk, linked = math.inf, 1          # cheapest walk that ends here, characters that are linked up to here
+    repeat = [[math.inf] * (n + 1) for _ in range(MAX_BLOCK + 1)]  # cheapest repeat that ends at a place, by block
+    same = [0] * (MAX_BLOCK + 1)        # characters up to here that equal the ones a block before
+    for j in range(1, n + 1):
+        cost = best[j - 1] + brute
+        for i in range(max(0, j - words.longest), j - MIN_WORD + 1):
             for form, extra in ((low, 0.0), (plain, 0.3)):
-                if (rank := _RANK.get(form[i:j])) is not None:
-                    yield i, j, rank + extra + (0.3 if s[i:j] != low[i:j] else 0.0), "word"
+                if (rank := words.rank.get(form[i:j])) is not None:
+                    cost = min(cost, best[i] + rank + extra + (0.3 if s[i:j] != low[i:j] else 0.0) + _SEGMENT)
                     break
-        if m := _DATE.match(s, i):
-            yield i, m.end(), _DATE_COST if m.end() - i > 4 else _YEAR_COST, "date"
-    for size in (1, 2, 3, 4):  # maximal runs of a repeated block, from each place
-        end = n
-        for i in range(n - 2 * size, -1, -1):
-            if s[i:i + size] != s[i + size:i + 2 * size]:
-                end = i + 2 * size - 1
-            elif (times := (end - i) // size) >= (3 if size == 1 else 2):
-                yield i, i + times * size, size * brute + math.log10(times), "repeat"
-    end = n
-    for i in range(n - 2, -1, -1):
-        if (low[i], low[i + 1]) not in _NEXT:
-            end = i + 1
-        elif end - i >= 3:
-            yield i, end, math.log10(len(_NEXT)) + math.log10(end - i), "walk"
-
-
-def guess_cost(s: str) -> float:
-    """log10 of the guesses of the cheapest segmentation of the whole value."""
-    at: dict[int, list[tuple[int, float]]] = {}
-    for i, j, cost, _ in segments(s):
-        at.setdefault(i, []).append((j, cost + _SEGMENT))
-    best, brute = [math.inf] * (len(s) + 1), _alphabet(s)
-    best[0] = 0.0
-    for i in range(len(s)):
-        best[i + 1] = min(best[i + 1], best[i] + brute)
-        for j, cost in at.get(i, ()):
-            best[j] = min(best[j], best[i] + cost)
-    return best[-1]
+        for i, c in dates.get(j, ()):
+            cost = min(cost, best[i] + c + _SEGMENT)
+        for size in range(1, MAX_BLOCK + 1):
+            same[size] = same[size] + 1 if j > size and s[j - 1] == s[j - 1 - size] else 0
+            blocks = 3 if size == 1 else 2
+            if same[size] >= (blocks - 1) * size:
+                new = best[j - blocks * size] + size * brute + math.log10(n // size) + _SEGMENT
+                repeat[size][j] = min(new, repeat[size][j - size])  # one block more costs no more
+                cost = min(cost, repeat[size][j])
+        linked = linked + 1 if j > 1 and (low[j - 2], low[j - 1]) in _NEXT else 1
+        walk = min(walk, best[j - MIN_WALK] + walk_cost) if linked >= MIN_WALK else math.inf
+        best[j] = min(cost, walk)
+    return best[n]
 
 
 class Covered:
@@ -127,7 +160,7 @@ class Covered:
         return i >= 0 and self.ends[i] > start
 
 
-def scan(text: str, kinds: set[str], min_log10: float = MIN_LOG10) -> tuple[list[tuple[int, int, str]], float | None]:
+def scan(text: str, kinds: set[str], min_log10: float = MIN_LOG10, words: Words = COMMON) -> tuple[list[tuple[int, int, str]], float | None]:
     """Spans of one text, for the kinds that may occur, and the highest guess cost of a credential value."""
     spans, top = [], None
     if "assign" in kinds:
@@ -144,7 +177,7 @@ def scan(text: str, kinds: set[str], min_log10: float = MIN_LOG10) -> tuple[list
             start, value = m.start(1), m[1].rstrip(".:!?)]}")
             if not value:
                 continue
-            cost = guess_cost(value)
+            cost = guess_cost(value, words)
             top = cost if top is None else max(top, cost)
             end = start + len(value)
             if cost >= min_log10 and not covered.overlap(start, end):
@@ -160,9 +193,13 @@ SCHEMA = ("doc_id long, n_assign long, n_access long, n_hex long, n_guess long,
           "log10_guesses double")
 
 
-def find_secrets(docs: DataFrame, min_log10: float = MIN_LOG10) -> DataFrame:
-    """A row for each row of ``docs``: counts, spans and the highest guess cost (null without credential values)."""
+def find_secrets(docs: DataFrame, min_log10: float = MIN_LOG10, rank_file: str | None = None) -> DataFrame:
+    """A row for each row of ``docs``: counts, spans and the highest guess cost (null without credential values).
+    ``rank_file``: a tokenizer's rank file, read by the driver, whose words are ranked too."""
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary(rank_file) if rank_file else [])
+
     def run(batches):
+        words = Words(shared.value)
         for b in batches:
             texts = b.column(1).fill_null("")
             may = {k: pc.match_substring_regex(texts, p).to_numpy(zero_copy_only=False) for k, p in MAY.items()}
@@ -171,7 +208,7 @@ def find_secrets(docs: DataFrame, min_log10: float = MIN_LOG10) -> DataFrame:
             for i in range(len(texts)):
                 row, kinds = empty, {k for k, hit in may.items() if hit[i]}
                 if kinds:
-                    spans, top = scan(texts[i].as_py(), kinds, min_log10)
+                    spans, top = scan(texts[i].as_py(), kinds, min_log10, words)
                     base = joined(x for x in spans if x[2] != "guess")
                     row = (*(sum(x[2] == k for x in spans) for k in KINDS),
                            hashlib.sha256(base.encode()).hexdigest(), joined(spans), top)

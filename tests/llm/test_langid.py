@@ -95,3 +95,17 @@ def test_held_out_accuracy(spark):
     held = [r for r in got if r.held_out]
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in got)
     assert np.mean([r.lang_pred == lang[r.doc_id] for r in held]) > 0.97
+
+
+def test_blocks_do_not_matter(docs_of, spark):
+    m = L.fit(labelled(docs_of), per_lang=10, landmarks=5)
+    texts = [np.frombuffer(t.encode(), np.uint8) for t in (EN, DE, "", ES * 50, "zzz", EN[:7])]
+    one = L.Scorer(m, cells=1).scores(texts)
+    assert np.allclose(one, L.Scorer(m).scores(texts)) and len(L.Scorer(m, cells=1).present) == 1
+
+
+def test_two_step_sample_takes_the_lowest_hashes(spark):
+    rows = spark.range(5000).selectExpr("id doc_id", "concat('some text ', id) text",
+                                        "if(id % 50 = 0, 'de', 'en') lang")
+    got = L.sample(rows, 20).groupBy("lang").count().collect()
+    assert {r.lang: r["count"] for r in got} == {"en": 20, "de": 20}

@@ -1,7 +1,11 @@
+import functools
 import hashlib
+import math
 import re
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from cardwatch.llm import secrets as S
@@ -39,27 +43,64 @@ def test_base_matches_brute_force(spark, docs_of):
     assert got[0].log10_guesses is None
 
 
-def brute(s):
+def piece(p, n, brute_char, rank):
+    """The cheapest way to guess a whole piece, from the rules in words."""
+    low, out = p.lower(), []
+    swapped = low.translate(str.maketrans("@4310$57", "aaeiosst"))
+    if len(p) == 1:
+        out.append(brute_char)
+    if len(p) >= 3 and (low in rank or swapped in rank):
+        out.append((rank[low] if low in rank else rank[swapped] + 0.3) + 0.3 * (p != low) + math.log10(2))
+    for size in range(1, 5):
+        times, rest = divmod(len(p), size)
+        if not rest and times >= (3 if size == 1 else 2) and p == p[:size] * times:
+            out.append(size * brute_char + math.log10(n // size) + math.log10(2))
+    keys = {(a, b) for w in S.WALKS for x in (w, w[::-1]) for a, b in zip(x, x[1:])}
+    if len(p) >= 3 and all(k in keys for k in zip(low, low[1:])):
+        out.append(math.log10(len(keys)) + math.log10(n) + math.log10(2))
+    if re.fullmatch(r"(19|20)[0-9]{2}", p):
+        out.append(math.log10(200) + math.log10(2))
+    day, month, year = "(0[1-9]|[12][0-9]|3[01])", "(0[1-9]|1[0-2])", "(19|20)[0-9]{2}"
+    for sign in ("", "-", "/", r"\."):
+        if re.fullmatch(year + sign + month + sign + day, p) or re.fullmatch(day + sign + month + sign + year, p):
+            out.append(math.log10(366 * 200) + math.log10(2))
+    return min(out, default=math.inf)
+
+
+def brute(s, rank):
     """Cheapest segmentation by trying every cut."""
-    import functools
-
-    segs = {}
-    for i, j, c, _ in S.segments(s):
-        segs[i, j] = min(c, segs.get((i, j), 99))
-
     @functools.cache
     def cost(i):
-        if i == len(s):
-            return 0.0
-        return min([S._alphabet(s) + cost(i + 1)]
-                   + [c + S._SEGMENT + cost(j) for (a, j), c in segs.items() if a == i])
+        return 0.0 if i == len(s) else min(
+            piece(s[i:j], len(s), S._alphabet(s), rank) + cost(j) for j in range(i + 1, len(s) + 1))
     return cost(0)
 
 
 @pytest.mark.parametrize("s", ["", "a", "password", "P@ssw0rd1987", "qwerty123", "abababab", "x9$kQ!2z", "20240131",
-                               "aaaaaaaa", "asdfgh2001welcome"])
+                               "aaaaaaaa", "asdfgh2001welcome", "abcdefault", "aaaadmin", "asdfguest", "aaabaaabab",
+                               "2001/12/31x31.12.1999", "12345671999", "İstanbul2001", "ababab1234321"])
 def test_guess_cost(s):
-    assert S.guess_cost(s) == pytest.approx(brute(s))
+    assert S.guess_cost(s) == pytest.approx(brute(s, S.COMMON.rank))
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet="abcqwe12Aap0s9", max_size=14))
+def test_guess_cost_of_any_value(s):
+    assert S.guess_cost(s) == pytest.approx(brute(s, S.COMMON.rank))
+
+
+def test_words_of_the_vocabulary(spark, docs_of):
+    """Ordinary prose behind a credential word is no secret; four words in a row, and random values, are."""
+    import public_tokenizers
+
+    file = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    docs = docs_of("the password is incorrect", "this token is available", "the secret was discovered",
+                   "passphrase is correcthorsebatterystaple", "the password is x9$kQ!2zLw")
+    assert [r.n_guess for r in S.find_secrets(docs, rank_file=file).orderBy("doc_id").collect()] == [0, 0, 0, 1, 1]
+
+
+def test_long_value():
+    assert S.guess_cost("Zx9" * 20_000) < 12
 
 
 def test_guess_cost_order():
