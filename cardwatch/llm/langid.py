@@ -115,7 +115,9 @@ def sample(docs: DataFrame, per_lang: int = PER_LANG) -> DataFrame:
     rows = rows.filter(learning_expr() & F.col("lang").isNotNull() & F.col("text").isNotNull())
     many = rows.groupBy("lang").agg(F.count("*").alias("many"))
     low = (F.shiftrightunsigned(F.xxhash64("doc_id"), 11) / F.lit(float(1 << 53))) * F.col("many") < 2.0 * per_lang
-    few = rows.select("doc_id", "lang").join(many, "lang").filter((F.col("many") <= 4 * per_lang) | low) \
+    # a row for each language, of which the model holds a column on the driver anyway; without the hint all rows are
+    # dealt by language before the filter
+    few = rows.select("doc_id", "lang").join(F.broadcast(many), "lang").filter((F.col("many") <= 4 * per_lang) | low) \
         .select("doc_id", "lang").distinct()
     order = Window.partitionBy("lang").orderBy(F.shiftrightunsigned(F.xxhash64("doc_id"), 11), "doc_id")
     chosen = few.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= per_lang)
