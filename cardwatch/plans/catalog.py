@@ -407,9 +407,9 @@ def run_stream_pipeline(spark: SparkSession, sf_dir: str, n_slices: int = 4) ->
     (watermark advances between batches), gold drains silver in one batch."""
     base = scratch_path(spark, f"pipeline-{uuid.uuid4().hex[:12]}")
     src = f"{base}/source"
-    jobs.write_envelope_files(load_transactions(spark, sf_dir), src, n_slices, files_per_slice=FILES_PER_SLICE)
+    files = jobs.write_envelope_files(load_transactions(spark, sf_dir), src, n_slices)
     cfg = jobs.StreamConfig(paths=LayerPaths(base), source_format="parquet", source_path=src,
-                            max_files_per_trigger=FILES_PER_SLICE, available_now=True)
+                            max_files_per_trigger=files, available_now=True)
     for q in [jobs.run_bronze(spark, cfg)]:
         q.awaitTermination()
     for q in jobs.run_silver(spark, cfg):
@@ -471,9 +471,9 @@ def q_velocity_stateful(spark, sf_dir):
 
     base = scratch_path(spark, f"stateful-{uuid.uuid4().hex[:12]}")
     src = f"{base}/source"
-    jobs.write_envelope_files(load_transactions(spark, sf_dir), src, 8, files_per_slice=FILES_PER_SLICE)
+    files = jobs.write_envelope_files(load_transactions(spark, sf_dir), src, 8)
     cfg = jobs.StreamConfig(paths=LayerPaths(base), source_format="parquet", source_path=src,
-                            max_files_per_trigger=FILES_PER_SLICE, available_now=True)
+                            max_files_per_trigger=files, available_now=True)
     silver = cleanse.silver(envelope.decode_envelope(jobs.message_source(spark, cfg)))
     v = velocity_stateful(silver, window_s=86400, watermark=None)
     q = (v.writeStream.format("parquet").outputMode("append")
@@ -538,14 +538,15 @@ def _replayed(spark: SparkSession, sf_dir: str, *columns: str, slices: int, with
     """The silver rows as a stream that reads a slice of time per micro-batch.  With ``within_s``, rows come up to that many
     seconds after their time, so that neighbours change places, also across micro-batches."""
     base = scratch_path(spark, f"replay-{uuid.uuid4().hex}")
-    silver = cleanse.silver(load_transactions(spark, sf_dir)).select(*columns)
+    silver = silver_of(spark, sf_dir, *columns)
     lag = F.pmod(F.xxhash64("transaction_id"), F.lit(within_s * 1_000_000)) if within_s else F.lit(0)
     came = silver.withColumn("_came", F.unix_micros("event_time") + lag)
-    cuts = came.agg(F.percentile_approx("_came", [i / slices for i in range(1, slices)], 100_000).alias("q")).first()["q"] or []
+    q = came.agg(F.percentile_approx("_came", [i / slices for i in range(1, slices)], 100_000).alias("q"), F.count(F.lit(1)).alias("n")).first()
+    cuts, files = q["q"] or [], jobs.files_of(q["n"], slices)
     for lo, hi in zip([None, *cuts], [*cuts, None], strict=True):
         part = came.filter((F.lit(True) if lo is None else F.col("_came") > lo) & (F.lit(True) if hi is None else F.col("_came") <= hi))
-        part.drop("_came").repartition(FILES_PER_SLICE).write.mode("append").parquet(f"{base}/source")
-    return spark.readStream.schema(silver.schema).option("maxFilesPerTrigger", FILES_PER_SLICE).parquet(f"{base}/source")
+        part.drop("_came").repartition(files).write.mode("append").parquet(f"{base}/source")
+    return spark.readStream.schema(silver.schema).option("maxFilesPerTrigger", files).parquet(f"{base}/source")
 
 
 @register("score_event_time_stream")
@@ -646,9 +647,9 @@ def q_silver_within_watermark(spark, sf_dir):
     later = F.date_format(F.try_to_timestamp(F.col("timestamp")) + F.expr("INTERVAL 1 SECOND"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
     again = once.filter(F.substring("transaction_id", -1, 1) == "0").withColumn("timestamp", later)
     base = scratch_path(spark, f"within-{uuid.uuid4().hex}")
-    jobs.write_envelope_files(once.unionByName(again), f"{base}/source", 4, files_per_slice=FILES_PER_SLICE)
+    files = jobs.write_envelope_files(once.unionByName(again), f"{base}/source", 4)
     cfg = jobs.StreamConfig(paths=LayerPaths(base), source_format="parquet", source_path=f"{base}/source",
-                            max_files_per_trigger=FILES_PER_SLICE, available_now=True)
+                            max_files_per_trigger=files, available_now=True)
     silver = cleanse.silver(envelope.decode_envelope(jobs.message_source(spark, cfg)), within_watermark=True)
     return _drained(spark, silver.select("transaction_id", "card_id", "amount"), "append").drop("batch_id")
 

@@ -150,11 +150,22 @@ def run_gold(spark: SparkSession, cfg: StreamConfig) -> StreamingQuery:
     return _trigger(w, cfg, "gold").start()
 
 
+#: Rows of a file of a replay, and the least number of files of a slice.
+ROWS_PER_FILE, LEAST_FILES = 100_000, 4
+
+
+def files_of(rows: int, n_slices: int) -> int:
+    """Files that a slice of ``rows / n_slices`` rows is written as: their number grows with the rows, so that the tasks that
+    write a slice, and those that read it as a micro-batch, do too."""
+    return max(LEAST_FILES, -(-rows // (n_slices * ROWS_PER_FILE)))
+
+
 def write_envelope_files(txns: DataFrame, path: str, n_slices: int = 4, ts: str = "timestamp",
-                         files_per_slice: int = 4) -> None:
+                         files_per_slice: int | None = None) -> int:
     """Test/replay helper: write transactions as envelope files in event-time
-    order, one append of ``files_per_slice`` files per time slice, so a file
-    source with ``maxFilesPerTrigger=files_per_slice`` replays about a slice per
+    order, one append of ``files_per_slice`` files (by default as ``files_of``
+    says) per time slice, and return that number, so that a file
+    source with ``maxFilesPerTrigger`` of it replays about a slice per
     micro-batch.  A slice is read and written by many tasks.  Slice bounds are
     ``n_slices - 1`` approximate quantiles of the event time (one small row to
     the driver)."""
@@ -162,7 +173,9 @@ def write_envelope_files(txns: DataFrame, path: str, n_slices: int = 4, ts: str
 
     us = F.unix_micros(F.try_to_timestamp(F.col(ts)))
     probs = [i / n_slices for i in range(1, n_slices)]
-    cuts = txns.agg(F.percentile_approx(us, probs, 100_000).alias("q")).first()["q"] if probs else []
+    first = txns.agg(F.percentile_approx(us, probs or [0.5], 100_000).alias("q"), F.count(F.lit(1)).alias("n")).first()
+    cuts = (first["q"] or []) if probs else []
+    files = files_per_slice or files_of(first["n"], n_slices)
     bounds = [None, *cuts, None]
     for lo, hi in zip(bounds[:-1], bounds[1:]):
         cond = F.lit(True)
@@ -172,7 +185,8 @@ def write_envelope_files(txns: DataFrame, path: str, n_slices: int = 4, ts: str
             cond = cond & (us <= F.lit(hi))
         if lo is None:
             cond = cond | us.isNull()
-        to_envelope(txns.filter(cond)).repartition(files_per_slice).write.mode("append").parquet(path)
+        to_envelope(txns.filter(cond)).repartition(files).write.mode("append").parquet(path)
+    return files
 
 
 def run_merchant_enrich(spark: SparkSession, silver_stream: DataFrame, dimension_path: str, out_path: str, checkpoint: str,
